@@ -5,9 +5,11 @@ from __future__ import annotations
 import tempfile
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import LongType, StructField, StructType
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -108,27 +110,20 @@ def ranked(df: DataFrame, groups: list[str], order: list[str], partitions: int |
 
     def run(batches):
         last, at = None, 0
-        for frame in batches:
-            if not len(frame):
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            g = frame[groups].astype(object).where(frame[groups].notna(), None)
-            changed = np.ones(len(frame), bool)
-            values = [g[c].to_numpy() for c in groups]
-            if len(frame) > 1:
-                changed[1:] = np.logical_or.reduce([[x != y for x, y in zip(v[1:], v[:-1])] for v in values])
-            head = tuple(v[0] for v in values)
-            if last is None:
-                start = before[int(frame["_part"].iloc[0])]
-            else:
-                start = at if head == last else 0
-            index = np.arange(len(frame))
-            begun = np.maximum.accumulate(np.where(changed, index, 0))
-            rank = index - begun
-            rank[begun == 0] += start
-            last, at = tuple(v[-1] for v in values), int(rank[-1]) + 1
-            yield frame.assign(rank=rank.astype("int64"))
-
-    out = rows.mapInPandas(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema) + ", rank long")
+            values = [batch.column(c).to_pylist() for c in groups]
+            part, heads, rank = batch.column("_part")[0].as_py(), zip(*values), []
+            for head in heads:
+                if head != last:
+                    at = before[part] if last is None else 0
+                    last = head
+                rank.append(at)
+                at += 1
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rank, pa.int64())], names=[*batch.schema.names, "rank"])
+
+    out = rows.mapInArrow(run, StructType([*schema.fields, StructField("rank", LongType())]))
     return out.select(*columns, "rank")
 
 
@@ -137,5 +132,21 @@ def crc_fold(column: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % 4, F.lit(0))
 
 
-def frames(rows: dict[str, list]) -> pd.DataFrame:
-    return pd.DataFrame(rows)
+def mapped(df: DataFrame, keep: list[str], reads: list[str], adds: str, f) -> DataFrame:
+    """Columns ``keep`` of ``df`` unchanged, and the columns ``adds`` (DDL) that ``f`` makes.
+
+    ``f`` gets the columns ``reads`` of an Arrow batch as lists (nulls are None) and returns a list or
+    array for each added column. Kept columns stay in Arrow, so that null or large ids are exact.
+    """
+    new = StructType.fromDDL(adds)
+    taken = {x.name for x in new}
+    keep = [c for c in keep if c not in taken]
+    source = df.select(*[F.col(f"`{c}`") for c in keep], *[F.col(f"`{c}`").alias(f"_read{i}") for i, c in enumerate(reads)])
+
+    def run(batches):
+        for batch in batches:
+            lists = [batch.column(len(keep) + i).to_pylist() for i in range(len(reads))]
+            made = [pa.array(x, to_arrow_type(t.dataType)) for x, t in zip(f(*lists), new)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *made], names=[*keep, *new.names])
+
+    return source.mapInArrow(run, StructType([*source.schema.fields[: len(keep)], *new.fields]))

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, cut, local_components
+from .common import components, cut, local_components, mapped
 
 #: Mean and most fingerprints of one shard tree.
 SHARD, SHARD_CAP = 512, 1024
@@ -51,14 +51,11 @@ def fingerprint(text: str | None, words: int = 3) -> int:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
     """(id, fp) of each row; null and wordless texts get 0. Other columns are not read."""
-    kind = docs.schema[id_col].dataType.simpleString()
+    def run(texts):
+        return (np.array([fingerprint(t, words) for t in texts], dtype=np.uint64).view(np.int64),)
 
-    def run(batches):
-        for frame in batches:
-            fp = np.array([fingerprint(t, words) for t in frame["t"]], dtype=np.uint64).view(np.int64)
-            yield pd.DataFrame({"id": frame["id"], "fp": fp})
-
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t")).mapInPandas(run, f"id {kind}, fp long")
+    narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t"))
+    return mapped(narrow, ["id"], ["t"], "fp long", run)
 
 
 class BKTree:
