@@ -63,16 +63,19 @@ def normal_tail(z: float) -> float:
 
 
 def chi2_tail(x: float, k: int) -> float:
-    """Upper tail of chi-squared: exact for even k, Wilson and Hilferty's normal form otherwise."""
+    """Upper tail of chi-squared: exact up to 200 degrees, Wilson and Hilferty's normal form beyond."""
     if x <= 0:
         return 1.0
-    if k % 2 == 0 and k <= 200 and x < 1400:
-        term = total = 1.0
-        for i in range(1, k // 2):
-            term *= x / 2 / i
-            total += term
-        return min(1.0, math.exp(-x / 2) * total)
-    return normal_tail(((x / k) ** (1 / 3) - 1 + 2 / (9 * k)) / math.sqrt(2 / (9 * k)))
+    if k > 200 or x > 1400:
+        return normal_tail(((x / k) ** (1 / 3) - 1 + 2 / (9 * k)) / math.sqrt(2 / (9 * k)))
+    if k % 2:
+        total, term, first = math.erfc(math.sqrt(x / 2)), math.sqrt(2 * x / math.pi) * math.exp(-x / 2), 3
+    else:
+        total, term, first = 0.0, math.exp(-x / 2), 2
+    for i in range(first, k + 1, 2):
+        total += term
+        term *= x / i
+    return min(1.0, total)
 
 
 def battery(token: str) -> tuple[str | None, float]:
