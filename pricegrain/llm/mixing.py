@@ -19,7 +19,7 @@ from .common import ranked
 
 WEIGHTS = (5, 2, 1)
 #: Budget that the dynamic programme fits, in words; a wider rest is narrowed first.
-FIT = 1 << 15
+FIT = 1 << 13
 #: The words that count towards a size.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -43,22 +43,25 @@ def targets(sizes: list[tuple[str | None, int]], weights=WEIGHTS, most: float =
 
 
 def knapsack(lengths: list[int], counts: list[int], budget: int) -> list[int]:
-    """How many of each length to take so that their sum is as near ``budget`` from below as can be.
+    """How many of each length to take so that their sum is as near ``budget`` as can be, below in a tie.
 
     Reachable sums are the bits of one integer; a count is split in powers of two, and the states after
-    each part lead back to the choice.
+    each part lead back to the choice. A sum beyond twice the budget is never nearer than nothing.
     """
-    mask, state = (1 << (budget + 1)) - 1, 1
+    mask, state = (1 << (2 * budget + 1)) - 1, 1
     parts, states = [], []
     for i, (length, count) in enumerate(zip(lengths, counts)):
-        count, step = min(count, budget // length), 1
+        count, step = min(count, 2 * budget // length), 1
         while count > 0 and not state >> budget & 1:
             step = min(step, count)
             parts.append((i, step, length * step))
             states.append(state)
             state = (state | state << (length * step)) & mask
             count, step = count - step, step * 2
-    at, taken = state.bit_length() - 1, [0] * len(lengths)
+    below = (state & ((1 << (budget + 1)) - 1)).bit_length() - 1
+    more = state >> (budget + 1)
+    above = budget + (more & -more).bit_length() if more else 3 * budget + 1
+    at, taken = below if budget - below <= above - budget else above, [0] * len(lengths)
     for (i, step, total), before in zip(reversed(parts), reversed(states)):
         if not before >> at & 1:
             taken[i] += step
@@ -67,13 +70,15 @@ def knapsack(lengths: list[int], counts: list[int], budget: int) -> list[int]:
 
 
 def plan(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
-    """Documents to take of each length (ascending, positive) for a sum close to ``budget``, never above."""
+    """Documents to take of each length (ascending, positive) for a sum as close to ``budget`` as can be."""
     total = int((lengths * counts).sum())
     if budget <= 0 or total == 0:
         return np.zeros(len(lengths), np.int64)
     if budget >= total:
         return counts.copy()
-    take = np.array([int(c) * budget // total for c in counts], np.int64)
+    take = np.zeros(len(lengths), np.int64)
+    if budget > FIT:
+        take = np.array([int(c) * budget // total for c in counts], np.int64)
     rest = budget - int((lengths * take).sum())
     for i in range(len(lengths) - 1, -1, -1):
         if rest <= FIT:
@@ -83,8 +88,9 @@ def plan(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
             take[i] += more
             rest -= more * int(lengths[i])
     rest = min(rest, FIT)
-    fits = np.flatnonzero((lengths <= rest) & (counts > take))[::-1]
-    take[fits] += np.array(knapsack(lengths[fits].tolist(), (counts - take)[fits].tolist(), rest), np.int64)
+    fits = np.flatnonzero((lengths <= 2 * rest) & (counts > take))[::-1]
+    if rest > 0:
+        take[fits] += np.array(knapsack(lengths[fits].tolist(), (counts - take)[fits].tolist(), rest), np.int64)
     return take
 
 
