@@ -10,11 +10,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import scalars as S
 from ..operators import fx, grain, normalize, sets, stations, status, summary, validate
 from ..operators.constants import LITRES_PER_US_GALLON
-from ..schemas import STATION, empty
+from ..schemas import STATION, WATCH, empty
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {}
 
@@ -483,6 +484,67 @@ def station_rebuild(spark, sf_dir):
     out = stations.rebuild(whole, existing, empty(spark, STATION).select(F.col("station_key").alias("old_station_key"), F.col("station_key").alias("new_station_key")), thresholds={k: 2 for k in COUNTRY})
     return out.select("station_key", text("first_seen_utc"), text("last_seen_utc"), "grades_seen", "status")
 
+#: One day of events as raw stations: who is polled, watched or closed follows from the user id.
+_DAY = "2024-01-10"
+_RAW = f"""st AS (SELECT range AS user_id, CASE WHEN range % 7 = 0 THEN 'watch' WHEN range % 7 = 1 THEN 'extra' ELSE 'seen' END AS id_origin, CASE WHEN range % 5 = 0 THEN 'no_gas' WHEN range % 3 = 2 THEN 'absent' ELSE 'gas' END AS ecom_state,
+    range % 11 = 0 AS future, range % 13 = 0 AS closed, range % 17 <> 0 AS zoned FROM range(0, 150)),
+pr AS (SELECT user_id, event_id, event_type AS grade_raw, value AS price, CASE event_type {_grade} END AS grade, CASE event_type WHEN 'purchase' THEN 2 WHEN 'error' THEN 0 ELSE 1 END AS priority, value BETWEEN 1.0 AND 100.0 AS inside FROM events WHERE ts::date = DATE '{_DAY}'),
+judged AS (SELECT *, CASE WHEN id_origin <> 'extra' AND ecom_state = 'no_gas' THEN 'no_gas_service' WHEN id_origin <> 'extra' AND future THEN 'not_open' WHEN id_origin <> 'extra' AND closed THEN 'no_hours'
+    WHEN user_id NOT IN (SELECT user_id FROM pr) THEN 'no_price' WHEN NOT zoned THEN 'no_timezone' WHEN id_origin = 'watch' THEN 'watch' END AS reason FROM st),
+placed AS (SELECT *, row_number() OVER (PARTITION BY user_id, grade ORDER BY priority DESC, event_id) AS n FROM pr),
+mapped AS (SELECT *, CASE WHEN grade <> 'other' AND n > 1 THEN 'other' ELSE grade END AS final FROM placed),
+shown AS (SELECT *, max(CASE WHEN inside THEN (final = 'regular')::int END) OVER (PARTITION BY user_id) AS regular FROM mapped JOIN judged USING (user_id)),
+settled AS (SELECT *, reason IS NULL AND regular = 0 AND id_origin = 'seen' AND ecom_state = 'absent' AS refused FROM shown)"""
+
+
+def normalized(spark: SparkSession, sf_dir: str) -> normalize.Normalized:
+    e = read(spark, sf_dir, "events").where(F.to_date("ts") == F.lit(_DAY).cast("date"))
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("event_id", F.col("event_type").alias("grade_raw"), F.concat(F.lit("$"), F.col("value").cast("string")).alias("price_raw")))), lambda x: F.struct(x["grade_raw"].alias("grade_raw"), x["price_raw"].alias("price_raw")))
+    prices = e.groupBy("user_id").agg(listed.alias("prices"))
+    u = F.col("user_id")
+    raw = spark.range(0, 150).withColumnRenamed("id", "user_id").join(prices, "user_id", "left")
+    made = {
+        "country": F.lit("US"), "brand": F.lit("COSTCO"), "source_station_id": u.cast("string"), "name": F.lit("n"), "prices": F.col("prices"),
+        "id_origin": F.when(u % 7 == 0, "watch").when(u % 7 == 1, "extra").otherwise("seen"), "ecom_state": F.when(u % 5 == 0, "no_gas").when(u % 3 == 2, "absent").otherwise("gas"),
+        "opening_date": F.when(u % 11 == 0, F.lit("2025-01-01").cast("date")), "has_hours": F.when(u % 13 == 0, False), "timezone": F.when(u % 17 == 0, "Nowhere/Land").otherwise("America/Denver"),
+    }
+    kinds = StructType.fromDDL(normalize.RAW_STATION)
+    stations_ = raw.select([made.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in kinds])
+    dims = normalize.Dimensions(
+        priorities(spark).unionByName(inline(spark, [("US", "COSTCO", "error", "other", 0)], "country string, brand string, grade_raw string, grade string, priority bigint")),
+        inline(spark, [("US", None, "USD/gal")], "country string, region string, unit string"),
+        inline(spark, [("USD/gal", None, 1.0, 100.0)], "unit string, grade_raw string, low double, high double"),
+        empty(spark, WATCH),
+    )
+    return normalize.normalize(stations_, rates(spark), dims, f"{_DAY}T1200Z", _DAY, f"{_DAY} 12:00:00", "inline")
+
+
+@query(f"""WITH {_RAW} SELECT 'US-COSTCO-' || user_id AS station_key, grade_raw, final AS grade, price, round(price / {LITRES_PER_US_GALLON!r}::double, 9) AS price_local_per_litre, price AS price_usd_per_gallon, DATE '{_DAY}' AS local_date
+  FROM settled WHERE reason IS NULL AND inside AND NOT refused""")
+def normalize_rows(spark, sf_dir):
+    return normalized(spark, sf_dir).rows.select("station_key", "grade_raw", "grade", "price", F.round("price_local_per_litre", 9).alias("price_local_per_litre"), "price_usd_per_gallon", "local_date")
+
+
+@query(f"""WITH {_RAW} SELECT source_station_id, reason, count(*)::bigint AS n FROM (
+    SELECT user_id::varchar AS source_station_id, reason FROM judged WHERE reason IS NOT NULL
+    UNION ALL SELECT user_id::varchar, 'out_of_bounds' FROM settled WHERE reason IS NULL AND NOT inside
+    UNION ALL SELECT DISTINCT user_id::varchar, 'no_regular' FROM settled WHERE refused) GROUP BY 1, 2""")
+def normalize_drops(spark, sf_dir):
+    return normalized(spark, sf_dir).drops.groupBy("source_station_id", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"WITH {_RAW} SELECT user_id::varchar AS source_station_id, grade_raw, final AS grade, price, reason AS hold_reason FROM settled WHERE reason IN ('no_gas_service', 'not_open', 'no_hours', 'watch') AND zoned AND inside")
+def normalize_held(spark, sf_dir):
+    return normalized(spark, sf_dir).held.select("source_station_id", "grade_raw", "grade", "price", "hold_reason")
+
+
+@query(f"""WITH {_RAW} SELECT code, detail FROM (SELECT DISTINCT 'no_regular' AS code, user_id::varchar AS detail FROM settled WHERE reason IS NULL AND inside AND regular = 0 AND NOT refused
+    UNION ALL SELECT 'grade_conflict', 'US-COSTCO-' || user_id || ':' || grade || ':' || grade_raw FROM settled WHERE reason IS NULL AND final <> grade
+    UNION ALL SELECT DISTINCT 'priced_before_open', user_id::varchar FROM settled WHERE reason IN ('not_open', 'no_hours') AND inside AND grade = 'regular')""")
+def normalize_warnings(spark, sf_dir):
+    return normalized(spark, sf_dir).warnings.select("code", "detail")
+
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, (f, _) in QUERIES.items()}
