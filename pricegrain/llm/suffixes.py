@@ -14,7 +14,9 @@ right. Suffixes with one core meet in one bucket, so that nothing is left to com
 boundaries; a core that more than ``cap`` anchors share is cut beforehand into narrower runs of offsets
 with longer cores, at last into single windows, which repeat if they occur twice.
 
-Equal texts are processed once; a text that occurs twice repeats from end to end.
+Equal texts are processed once; a text that occurs twice repeats from end to end. Anchors whose contexts
+(all bytes of their windows) are equal are one: two of them repeat as a whole, and only contexts that differ
+around an equal core send bytes to a bucket, one text lending them for all.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -67,19 +70,24 @@ def anchors(raw: np.ndarray, least: int, reach: int) -> tuple[np.ndarray, np.nda
 
 
 def entries(raw: bytes, least: int, reach: int, hot: set[int]):
-    """(position, lowest, highest offset, width, hash of the core) of a text; hot cores are narrowed."""
+    """(position, lowest, highest offset, hash of the core, hash of the context) of a text's anchors.
+
+    A context is the bytes of all windows of the anchor. Hot cores are narrowed to fewer offsets; a core of a
+    single window is its own context.
+    """
     for p, low, high in zip(*(x.tolist() for x in anchors(np.frombuffer(raw, np.uint8), least, reach))):
         waiting = [(reach, 0)]
         while waiting:
             width, k = waiting.pop()
-            core = raw[p - k : p + least - k - width + 1]
-            h = xxhash.xxh64_intdigest(core, width << 16 | k)
+            h = xxhash.xxh64_intdigest(raw[p - k : p + least - k - width + 1], width << 16 | k)
             h -= (h >> 63) << 64
             if h in hot and width > 1:
                 step = NARROWER[width]
                 waiting += [(step, j) for j in range(k, k + width, step) if j <= high and j + step > low]
-            else:
-                yield p, max(low, k), min(high, k + width - 1), width, h
+                continue
+            a, b = max(low, k), min(high, k + width - 1)
+            c = h if width == 1 else xxhash.xxh64_intdigest(raw[p - b : p + least - a], a << 16 | b)
+            yield p, a, b, h, c - ((c >> 63) << 64) if width > 1 else c
 
 
 def shared_bytes(x: np.ndarray) -> np.ndarray:
@@ -177,15 +185,15 @@ def repeated(contexts: list[bytes], left: np.ndarray, low: np.ndarray, high: np.
     return out
 
 
-def runs(starts: list[int], least: int) -> list[tuple[int, int]]:
-    """Maximal covered runs of the windows that begin at ``starts``."""
-    out: list[list[int]] = []
-    for s in sorted(starts):
-        if out and s <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], s + least)
+def stretches(offsets) -> list[int]:
+    """First and last of each run of consecutive numbers, in one flat list."""
+    out: list[int] = []
+    for o in offsets:
+        if out and o == out[-1] + 1:
+            out[-1] = o
         else:
-            out.append([s, s + least])
-    return [(a, b) for a, b in out]
+            out += [o, o]
+    return out
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = 400, reach: int = REACH, cap: int = 40_000) -> DataFrame:
@@ -198,87 +206,100 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     code = F.encode(F.coalesce(F.col(text_col).cast("string"), F.lit("")), "utf-8")
     rows = docs.select(F.col(id_col).alias("id"), code.alias("raw")).withColumn("key", F.unhex(F.substring(F.sha2("raw", 256), 1, 32)))
+    long_rows = rows.where(F.length("raw") >= least).select("key", "raw")
 
-    def listed(df: DataFrame, hot: str | None, fresh: int | None) -> DataFrame:
-        """(key, h, local): the cores of each text; of the widths below ``fresh`` only, if that is given."""
+    def listed(df: DataFrame) -> DataFrame:
+        """(key, h, c, local): cores and contexts of each text, and how often it has them."""
+        hot = ["hot"] if "hot" in df.columns else []
 
         def run(raws, hots=None):
             out = []
             for i, raw in enumerate(raws):
-                seen: dict[int, int] = {}
-                for _, _, _, width, h in entries(raw, least, reach, set(hots[i] or ()) if hots else set()):
-                    if fresh is None or width < fresh:
-                        seen[h] = seen.get(h, 0) + 1
-                out.append([{"h": h, "local": n} for h, n in seen.items()])
+                own, seen = set(hots[i] or ()) if hots else set(), {}
+                for _, _, _, h, c in entries(raw, least, reach, own):
+                    seen[h, c] = seen.get((h, c), 0) + 1
+                out.append([{"h": h, "c": c, "local": n} for (h, c), n in seen.items()])
             return (out,)
 
-        return mapped(df, ["key"], ["raw", *([hot] if hot else [])], "e array<struct<h:long,local:long>>", run).select("key", F.explode("e").alias("e")).select("key", "e.*")
+        return mapped(df, ["key"], ["raw", *hot], "e array<struct<h:long,c:long,local:long>>", run).select("key", F.explode("e").alias("e")).select("key", "e.*")
 
     def shared(cores: DataFrame) -> DataFrame:
+        """Cores that two texts have, or one text twice."""
         mark = F.xxhash64("key")
-        out = cores.groupBy("h").agg(F.min(mark).alias("a"), F.max(mark).alias("b"), F.max("local").alias("local"), F.sum("local").alias("n"))
-        return out.where("a <> b OR local > 1").select("h", "n")
-
-    cores = cut(shared(listed(rows.where(F.length("raw") >= least), None, None)))
-    texts = rows.groupBy("key").agg(F.first("raw").alias("raw"), F.count(F.lit(1)).alias("copies"))
-    long_texts = texts.where(F.length("raw") >= least)
-    hot, width = None, reach
-    while width > 1 and cores.where(F.col("n") > cap).limit(1).count():
-        # Cores of too many anchors: their texts list the narrower ones.
-        marked = listed(long_texts, None, None) if hot is None else listed(long_texts.join(hot, "key", "left"), "hot", None)
-        more = marked.join(cores.where(F.col("n") > cap).select("h"), "h", "left_semi").select("key", "h")
-        if hot is not None:
-            more = more.union(hot.select("key", F.explode("hot").alias("h"))).distinct()
-        hot = cut(more.groupBy("key").agg(F.collect_list("h").alias("hot")))
-        narrow = shared(listed(long_texts.join(hot, "key"), "hot", width))
-        width = NARROWER[width]
-        cores = cut(cores.where(F.col("n") <= cap).union(narrow))
-    total = cores.agg(F.sum("n")).first()[0] or 0
-    source = long_texts.join(hot, "key", "left") if hot is not None else long_texts.withColumn("hot", F.lit(None).cast("array<long>"))
-    wanted = listed(source, "hot", None).join(cores.select("h"), "h").groupBy("key").agg(F.collect_list("h").alias("cores"))
-    kinds = "array<struct<lead:binary,h:long,low:int,high:int,left:int,at:array<long>,context:binary,known:boolean>>"
-
-    def items(raws, hots, wants):
+        out = cores.groupBy("h").agg(F.min(mark).alias("a"), F.max(mark).alias("b"), F.max("local").alias("local"), F.min("c").alias("c"), F.max("c").alias("d"))
+        return out.where("a <> b OR local > 1 OR c <> d").select("h")
+
+    cores, source = cut(shared(listed(long_rows))), long_rows
+    while True:
+        # Every text's contexts with shared cores, and what is known of each context as a whole.
+        have = cut(listed(source).join(cores, "h").groupBy("key", "h", "c").agg(F.max("local").alias("local")))
+        classes = cut(have.groupBy("h", "c").agg(F.min("key").alias("rep"), F.max("key").alias("other"), F.max("local").alias("local")))
+        wide = classes.where("h <> c").groupBy("h").agg(F.count(F.lit(1)).alias("n"))
+        hot = wide.where(F.col("n") > cap).select("h")
+        if not hot.limit(1).count():
+            break
+        marked = have.join(hot, "h", "left_semi").select("key", "h")
+        if "hot" in source.columns:
+            marked = marked.union(source.select("key", F.explode("hot").alias("h")))
+        marked = cut(marked.groupBy("key").agg(F.collect_set("h").alias("hot")))
+        source = long_rows.join(marked, "key", "left")
+        cores = cut(cores.join(hot, "h", "left_anti").union(shared(listed(source.where("hot IS NOT NULL")))).distinct())
+    known = (F.col("rep") != F.col("other")) | (F.col("local") > 1) | (F.col("h") == F.col("c"))
+    classes = classes.join(wide, "h", "left").withColumn("known", known)
+    # One text lends the bytes of each context whose core has several.
+    lent = cut(classes.where("n > 1").groupBy(F.col("rep").alias("key")).agg(F.collect_list(F.struct("h", "c", "known")).alias("x"), F.count(F.lit(1)).alias("n_x")))
+    packed = mapped(rows, ["id", "key"], ["raw"], "z binary", lambda raws: ([zstandard.compress(r, 3) for r in raws],))
+    texts = packed.groupBy("key").agg(F.first("z").alias("z"), F.count(F.lit(1)).alias("copies"))
+    with_hot = texts.join(lent, "key")
+    with_hot = with_hot.join(marked, "key", "left") if "hot" in source.columns else with_hot.withColumn("hot", F.lit(None).cast("array<long>"))
+
+    def contexts(zs, wants, hots):
         out = []
-        for raw, hot_, want in zip(raws, hots, wants):
-            want, seen = set(want or ()), {}
-            for p, low, high, width_, h in entries(raw, least, reach, set(hot_ or ())):
-                if h in want:
-                    seen.setdefault((h, low, high, raw[p - high : p + least - low], width_ == 1), []).append(p)
-            out.append([{"lead": c[high : high + 16], "h": h, "low": low, "high": high, "left": high, "at": at, "context": c if not single and len(at) == 1 or not single else None, "known": single or len(at) > 1} for (h, low, high, c, single), at in seen.items()])
+        for z, want, own in zip(zs, wants, hots):
+            raw, left, found = zstandard.decompress(z), {(x["h"], x["c"]): x["known"] for x in want}, []
+            for p, low, high, h, c in entries(raw, least, reach, set(own or ())):
+                if (h, c) in left:
+                    found.append({"lead": raw[p : p + 16], "h": h, "c": c, "low": low, "high": high, "context": raw[p - high : p + least - low], "known": left.pop((h, c))})
+            out.append(found)
         return (out,)
 
-    found = mapped(source.join(wanted, "key"), ["key"], ["raw", "hot", "cores"], f"x {kinds}", items).select("key", F.explode("x").alias("x")).select("key", "x.*")
-    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET))
+    kinds = "array<struct<lead:binary,h:long,c:long,low:int,high:int,context:binary,known:boolean>>"
+    found = mapped(with_hot, ["key"], ["z", "x", "hot"], f"f {kinds}", contexts).select(F.explode("f").alias("f")).select("f.*")
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-(lent.agg(F.sum("n_x")).first()[0] or 0) // BUCKET))
 
     def bucket(batches):
-        table = pa.Table.from_batches(list(batches))
-        keys, at, contexts = (table.column(c).to_pylist() for c in ("key", "at", "context"))
-        left, low, high = (table.column(c).to_numpy().astype(np.int64) for c in ("left", "low", "high"))
-        known = np.array(table.column("known").to_pylist(), bool)
-        some = [i for i, c in enumerate(contexts) if c is not None]
-        hit = np.zeros((len(keys), reach), bool)
-        if some:
-            hit[some] = repeated([contexts[i] for i in some], left[some], low[some], high[some], least, reach)
-        out_key, out_spans = [], []
-        for i in range(len(keys)):
-            offsets = range(low[i], high[i] + 1) if known[i] else np.flatnonzero(hit[i]).tolist()
-            if len(offsets):
-                out_key.append(keys[i])
-                out_spans.append([x for p in at[i] for x in runs([p - o for o in offsets], least)])
-        yield pa.RecordBatch.from_arrays([pa.array(out_key, pa.binary()), pa.array([[y for x in s for y in x] for s in out_spans], pa.list_(pa.int64()))], names=["key", "spans"])
-
-    spans = found.repartitionByRange(parts, "lead", "h").select("key", "at", "context", "left", "low", "high", "known").mapInArrow(bucket, "key binary, spans array<long>")
-    spans = spans.groupBy("key").agg(F.flatten(F.collect_list("spans")).alias("spans"))
-
-    def judge(raws, copies, spans_):
+        every = list(batches)
+        if not every:
+            return
+        table = pa.Table.from_batches(every)
+        low, high, h, c = (table.column(k).to_numpy().astype(np.int64) for k in ("low", "high", "h", "c"))
+        if not len(h):
+            return
+        hit = repeated(table.column("context").to_pylist(), high, low, high, least, reach)
+        fresh = ~np.array(table.column("known").to_pylist(), bool) & hit.any(1)
+        offsets = [stretches(np.flatnonzero(hit[i]).tolist()) for i in np.flatnonzero(fresh)]
+        yield pa.RecordBatch.from_arrays([pa.array(h[fresh]), pa.array(c[fresh]), pa.array(offsets, pa.list_(pa.int32()))], names=["h", "c", "offsets"])
+
+    partly = cut(found.repartitionByRange(parts, "lead", "h").mapInArrow(bucket, "h long, c long, offsets array<int>"))
+    # All offsets of a known context, the offsets found of the others.
+    whole = classes.where("known").select("h", "c", F.lit(None).cast("array<int>").alias("offsets"))
+    spans = cut(have.select("key", "h", "c").join(whole.union(partly), ["h", "c"]).groupBy("key").agg(F.collect_list(F.struct("h", "c", "offsets")).alias("x")))
+    given = texts.join(spans, "key", "left")
+    given = given.join(marked, "key", "left") if "hot" in source.columns else given.withColumn("hot", F.lit(None).cast("array<long>"))
+
+    def judge(zs, copies, given_, hots):
         out = []
-        for raw, n, flat in zip(raws, copies, spans_):
-            merged: list[list[int]] = []
+        for z, n, x, own in zip(zs, copies, given_, hots):
+            raw, merged = zstandard.decompress(z), []
             if n > 1 and len(raw) >= least:
                 merged = [[0, len(raw)]]
-            else:
-                for a, b in sorted(zip((flat or [])[::2], (flat or [])[1::2])):
+            elif x:
+                offsets, found = {(y["h"], y["c"]): y["offsets"] for y in x}, []
+                for p, low, high, h, c in entries(raw, least, reach, set(own or ())):
+                    if (h, c) in offsets:
+                        flat = offsets[h, c] or (low, high)
+                        found += [(p - b, p - a + least) for a, b in zip(flat[::2], flat[1::2])]
+                for a, b in sorted(found):
                     if merged and a <= merged[-1][1]:
                         merged[-1][1] = max(merged[-1][1], b)
                     else:
@@ -291,5 +312,5 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             out.append((len(raw), sum(b - a for a, b in merged), len(merged), kept.hexdigest()))
         return tuple(zip(*out)) or ((),) * 4
 
-    judged = mapped(texts.join(spans, "key", "left"), ["key"], ["raw", "copies", "spans"], "n_bytes long, n_removed long, n_spans long, kept_sha256 string", judge)
+    judged = mapped(given, ["key"], ["z", "copies", "x", "hot"], "n_bytes long, n_removed long, n_spans long, kept_sha256 string", judge)
     return rows.select("id", "key").join(judged, "key").select(F.col("id").alias(id_col), "n_bytes", "n_removed", "n_spans", "kept_sha256")
