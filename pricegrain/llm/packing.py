@@ -12,6 +12,7 @@ import json
 import re
 import zlib
 from bisect import bisect_left, insort
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -25,8 +26,8 @@ END = np.array([1], "<u4").tobytes()
 _PLAIN = re.compile("[\t\n\r -~¡-¬®-įı-ɏ]*")
 _LETTER, _NUMBER = "a-zªµºß-öø-ɏ", "0-9²³¹¼½¾"
 _PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^{_LETTER}{_NUMBER}]+")
-#: Words whose ids a worker remembers (then it starts anew), characters looked up at once, longest part merged here.
-REMEMBER, AT_ONCE, LONGEST = 800_000, 1 << 20, 64
+#: Words in a generation of a worker's memory, characters looked up at once, longest part merged here.
+REMEMBER, AT_ONCE, LONGEST = 200_000, 1 << 21, 64
 NEVER = np.int32(1 << 30)
 
 
@@ -50,8 +51,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.words, self.parts = Memory(), Memory()
         model = json.loads(self.tokenizer.to_str())["model"]
         ids = model["vocab"]
         shown = byte_letters()
@@ -115,50 +115,70 @@ class Encoder:
         return [row[:k].tobytes() for row, k in zip(flat, n.tolist())]
 
     def learn(self, words: set[str]) -> None:
-        cut_up = {w: _PARTS.findall(w) for w in words}
-        new = {p for ps in cut_up.values() for p in ps}.difference(self.parts)
+        self.parts.turn()
+        cut_up = list(map(_PARTS.findall, words))
         by_size: dict[int, list] = {}
-        for p in new:
+        for p in self.parts.missing(set(chain.from_iterable(cut_up))):
             raw = p.encode()
             if self.simple and len(raw) <= LONGEST:
                 by_size.setdefault(len(raw), []).append((p, raw))
             else:
-                self.parts[p] = self.ids(p)
+                self.parts.young[p] = self.ids(p)
         for some in by_size.values():
-            for (p, _), out in zip(some, self.merge([raw for _, raw in some])):
-                self.parts[p] = out
-        for w, ps in cut_up.items():
-            self.words[w] = self.parts[ps[0]] if len(ps) == 1 else b"".join([self.parts[p] for p in ps])
+            self.parts.young.update(zip([p for p, _ in some], self.merge([raw for _, raw in some])))
+        get = self.parts.young.__getitem__
+        self.words.young.update(zip(words, [b"".join(map(get, ps)) for ps in cut_up]))
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text and a final 1."""
-        out: list = [None] * len(texts)
+    def encode(self, texts: list[str | None]):
+        """(index, ids and a final 1) of each text, in any order."""
         waiting, size = [], 0
         for i, t in enumerate(texts):
             if not t:
-                out[i] = END
+                yield i, END
             elif not _PLAIN.fullmatch(t) or "<|" in t:
-                out[i] = self.ids(t) + END
+                yield i, self.ids(t) + END
             else:
                 waiting.append((i, t.lower().split()))
                 size += len(t)
                 if size >= AT_ONCE:
-                    self.look_up(waiting, out)
+                    yield from self.look_up(waiting)
                     waiting, size = [], 0
-        self.look_up(waiting, out)
-        return out
-
-    def look_up(self, waiting, out) -> None:
-        if len(self.words) > REMEMBER:
-            self.words.clear()
-        if len(self.parts) > REMEMBER:
-            self.parts.clear()
-        new = set().union(*[words for _, words in waiting]).difference(self.words)
+        yield from self.look_up(waiting)
+
+    def look_up(self, waiting):
+        self.words.turn()
+        get, found, gaps = self.words.young.get, [], []
+        for _, words in waiting:
+            ids = list(map(get, words))
+            found.append(ids)
+            gaps.append([k for k, x in enumerate(ids) if x is None])
+        new = self.words.missing({words[k] for (_, words), ks in zip(waiting, gaps) for k in ks})
         if new:
             self.learn(new)
-        get = self.words.__getitem__
-        for i, words in waiting:
-            out[i] = b"".join(map(get, words)) + END
+        known = self.words.young
+        for (i, words), ids, ks in zip(waiting, found, gaps):
+            for k in ks:
+                ids[k] = known[words[k]]
+            yield i, b"".join(ids) + END
+
+
+class Memory:
+    """Two generations of what has been met: when the young one is full, it replaces the old one."""
+
+    def __init__(self):
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def turn(self) -> None:
+        if len(self.young) > REMEMBER:
+            self.young, self.old = {}, self.young
+
+    def missing(self, keys: set[str]) -> set[str]:
+        """Those of ``keys`` that aren't known; the known ones are in the young generation afterwards."""
+        away = keys.difference(self.young)
+        again = away.intersection(self.old)
+        self.young.update(zip(again, map(self.old.__getitem__, again)))
+        return away - again
 
 
 def byte_letters() -> list[str]:
@@ -173,9 +193,9 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leng
     path, width = vocabulary or default_vocabulary(), 4 * length
 
     def run(texts):
-        out = []
-        for raw in Encoder.at(path).encode(texts):
-            out.append([(k, k * length, len(part) // 4, zlib.crc32(part)) for k in range(-(-len(raw) // width)) if (part := raw[k * width : (k + 1) * width])])
+        out: list = [None] * len(texts)
+        for i, raw in Encoder.at(path).encode(texts):
+            out[i] = [(k, k * length, len(part) // 4, zlib.crc32(part)) for k in range(-(-len(raw) // width)) if (part := raw[k * width : (k + 1) * width])]
         return ([[dict(zip(("piece", "start", "length", "ids_crc32"), x)) for x in xs] for xs in out],)
 
     narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t"))
