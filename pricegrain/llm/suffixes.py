@@ -232,7 +232,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     cores, source = cut(shared(listed(long_rows))), long_rows
     while True:
         # Every text's contexts with shared cores, and what is known of each context as a whole.
-        have = cut(listed(source).join(cores, "h").groupBy("key", "h", "c").agg(F.max("local").alias("local")))
+        # The changed core keeps the aggregate from resting on the join's partitions, where a common core's rows
+        # would meet in one task before they are combined.
+        mine = listed(source).join(cores, "h").groupBy("key", F.col("h").bitwiseXOR(F.lit(1)).alias("g"), "c")
+        have = cut(mine.agg(F.max("local").alias("local")).select("key", F.col("g").bitwiseXOR(F.lit(1)).alias("h"), "c", "local"))
         classes = cut(have.groupBy("h", "c").agg(F.min("key").alias("rep"), F.max("key").alias("other"), F.max("local").alias("local")))
         wide = classes.where("h <> c").groupBy("h").agg(F.count(F.lit(1)).alias("n"))
         hot = wide.where(F.col("n") > cap).select("h")
