@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import ranked
@@ -94,20 +94,25 @@ def plan(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     return take
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 42, weights=WEIGHTS, most: int = 3, keep: list[str] | None = None) -> DataFrame:
+def words(text_col: str = "text") -> Column:
+    """Number of words of a text; 0 for null."""
+    return F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 42, weights=WEIGHTS, most: int = 3, keep: list[str] | None = None, size_col: str | None = None) -> DataFrame:
     """(id, source, size, source_size, target, taken, ``keep``) of every row.
 
     ``taken`` is the words that the mix takes of the row, repeats counted: a multiple of its size, at
     most ``most`` times it. Null and empty texts have size 0 and take nothing; a null source is a source
     of its own, sorted last; rows that repeat, or whose ids tie, are chosen in the order of the hash and
     the id, and equal rows are interchangeable; an empty table gives an empty one. Only the columns named
-    are read. Sources are few: the driver holds one row for each.
+    are read; ``size_col``, if given, holds sizes that are already counted. Sources are few: the driver holds one row for each.
     """
     keep = keep or []
     sized = docs.select(
         F.col(id_col).alias("id"),
         F.col(source_col).cast("string").alias("source"),
-        F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+        (F.col(size_col) if size_col else words(text_col)).alias("size"),
         *[F.col(f"`{c}`").alias(f"_keep{i}") for i, c in enumerate(keep)],
     ).withColumn("draw", F.xxhash64(F.lit(seed), "id"))
     rows = ranked(sized, ["source", "size"], ["draw", "id"])
