@@ -1,0 +1,181 @@
+"""Near copies by word shingles: all pairs of texts whose shingle sets have a Jaccard similarity of 0.8 or more.
+
+An exact set join by prefix filter. Two sets that are similar enough share one of their first
+``n - ceil(0.8 n) + 1`` shingles in any common order, so each text is filed under those alone. The order
+puts shingles that are frequent in a sample last, then goes by hash: the sample decides how many candidates
+there are, never which pairs are found. Candidates are checked on their whole sets. Texts that one shingle
+files together are first compared with a few of them, then all that are not yet linked with each other.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import components, cut
+
+#: Texts that are all counted for the order; of more, one in ``PART`` is.
+WHOLE, PART = 20_000, 16
+#: A shingle is frequent from this many sampled texts on; most frequent shingles that are sent to the tasks.
+OFTEN, MOST = 3, 200_000
+#: Pairs that a task hands over at once, and texts that it opens at once.
+STEP, OPEN = 1 << 18, 256
+
+
+def shingles(text: str | None, words: int = 5) -> np.ndarray:
+    """Ascending distinct XXH64 values of a text's word shingles; a shorter text is one shingle."""
+    parts = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if not parts:
+        return np.zeros(0, np.int64)
+    joined = b" ".join(parts)
+    ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1)
+    starts = np.concatenate(([0], ends[:-words])).tolist()
+    h = xxhash.xxh64_intdigest
+    return np.unique(np.array([h(joined[a:b], 42) for a, b in zip(starts, (ends[min(words, len(parts)) - 1 :] - 1).tolist())], np.uint64).view(np.int64))
+
+
+def need(n, percent: int):
+    """Least size of a set, and of the overlap, that reaches ``percent`` with a set of ``n``."""
+    return -(-n * percent // 100)
+
+
+def _opened(batches):
+    """The batches in slices of few texts."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, OPEN):
+            yield batch.slice(i, OPEN)
+
+
+def _frequent(texts: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ascending frequent shingles of the sample and how many sampled texts hold each."""
+    if texts.count() > WHOLE:
+        texts = texts.where(F.pmod("key", F.lit(PART)) == 0)
+
+    def run(batches):
+        for batch in _opened(batches):
+            for t in batch.column(0).to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(shingles(t, words))], names=["item"])
+
+    counted = texts.select("text").mapInArrow(run, "item long").groupBy("item").count().where(F.col("count") >= OFTEN)
+    top = counted.orderBy(F.desc("count"), "item").limit(MOST).toPandas().sort_values("item")
+    return top["item"].to_numpy(np.int64), top["count"].to_numpy(np.int64)
+
+
+def _runs(batches):
+    """(item, key, n, label) arrays of a partition by item, label, n and key, without repeats, and the bounds of its items."""
+    parts = [b for b in batches if b.num_rows]
+    if not parts:
+        return None
+    item, key, n, label = (np.concatenate([p.column(c).to_numpy() for p in parts]) for c in ("item", "key", "n", "label"))
+    order = np.lexsort((key, n, item))
+    item, key, n, label = item[order], key[order], n[order], label[order]
+    fresh = np.concatenate(([True], (item[1:] != item[:-1]) | (key[1:] != key[:-1])))
+    item, key, n, label = item[fresh], key[fresh], n[fresh], label[fresh]
+    bounds = np.concatenate(([0], np.flatnonzero(item[1:] != item[:-1]) + 1, [len(item)]))
+    return item, key, n, label, bounds
+
+
+def _candidates(filed: DataFrame, percent: int, few: bool) -> DataFrame:
+    """Distinct pairs (a < b) that one shingle files together, that lengths allow and that bear different labels.
+
+    With ``few``, only pairs with the texts at the quarters of the shingle's lengths.
+    """
+
+    def run(batches):
+        got = _runs(batches)
+        if got is None:
+            return
+        _, key, n, label, bounds = got
+        out, waiting = [], 0
+        for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+            size = high - low
+            for i in sorted({0, size // 4, size // 2, 3 * size // 4, size - 1}) if few else range(size):
+                at = low + i
+                # lengths ascend: all later texts that are short enough, and with few the earlier ones as well
+                end = low + int(np.searchsorted(n[low:high], n[at] * 100 // percent, "right"))
+                start = low + int(np.searchsorted(n[low:high], need(int(n[at]), percent), "left")) if few else at + 1
+                others = np.arange(start, end)
+                others = others[(label[others] != label[at]) & (others != at)]
+                if len(others):
+                    a, b = key[others], key[at]
+                    out.append((np.minimum(a, b), np.maximum(a, b)))
+                    waiting += len(others)
+                if waiting >= STEP:
+                    pairs = np.unique(np.stack([np.concatenate(x) for x in zip(*out)], 1), axis=0)
+                    yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+                    out, waiting = [], 0
+        if out:
+            pairs = np.unique(np.stack([np.concatenate(x) for x in zip(*out)], 1), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+    return filed.repartition("item").mapInArrow(run, "a long, b long").distinct()
+
+
+def _similar(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs whose whole sets are similar."""
+    wanted = pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct()
+    known = cut(texts.join(wanted, "key", "left_semi").dropDuplicates(["key"]))
+    left, right = (known.select(F.col("key").alias(k), F.col("text").alias(f"t{k}")) for k in "ab")
+
+    def run(batches):
+        last, own = None, None
+        for batch in _opened(batches):
+            near = []
+            for a, s, t in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                if a != last:
+                    last, own = a, shingles(s, words)
+                other = shingles(t, words)
+                both = len(np.intersect1d(own, other, assume_unique=True))
+                near.append(100 * both >= percent * (len(own) + len(other) - both))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(near, pa.bool_()))
+
+    met = pairs.join(right, "b").join(left, "a").select("a", "b", "ta", "tb").sortWithinPartitions("a")
+    return met.mapInArrow(run, "a long, b long")
+
+
+def near_copies(docs: DataFrame, text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
+    """(key, label) of the texts that have a near copy; ``key`` is XXH64 of the text, ``label`` that of its group.
+
+    Texts whose shingle sets have a Jaccard similarity of ``percent`` or more are linked, and groups are
+    what links join. Null and wordless texts have no near copy. Other columns are not read.
+    """
+    texts = docs.select(F.col(text_col).cast("string").alias("text")).where("text IS NOT NULL").withColumn("key", F.xxhash64("text"))
+    sent = docs.sparkSession.sparkContext.broadcast(_frequent(texts, words))
+
+    def file(batches):
+        often, counts = sent.value
+        for batch in _opened(batches):
+            items, keys, sizes = [], [], []
+            for t, key in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                s = shingles(t, words)
+                if not len(s):
+                    continue
+                if len(often):
+                    at = np.minimum(np.searchsorted(often, s), len(often) - 1)
+                    s = s[np.argsort(np.where(often[at] == s, counts[at], 0), kind="stable")]
+                some = s[: len(s) - need(len(s), percent) + 1]
+                items.append(some)
+                keys.append(np.full(len(some), key, np.int64))
+                sizes.append(np.full(len(some), len(s), np.int64))
+            if items:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (items, keys, sizes)], names=["item", "key", "n"])
+
+    def shared(batches):
+        got = _runs(batches)
+        if got is not None:
+            item, key, n, label, bounds = got
+            more = np.repeat(np.diff(bounds) > 1, np.diff(bounds))
+            yield pa.RecordBatch.from_arrays([pa.array(x[more]) for x in (item, key, n, label)], names=["item", "key", "n", "label"])
+
+    kinds = "item long, key long, n long"
+    filed = cut(texts.select("text", "key").mapInArrow(file, kinds).withColumn("label", F.col("key")).repartition("item").mapInArrow(shared, kinds + ", label long"))
+    first = cut(_candidates(filed, percent, True))
+    links = cut(_similar(first, texts, words, percent))
+    label = components(links).withColumnRenamed("label", "_label")
+    filed = filed.join(label.withColumnRenamed("id", "key"), "key", "left").withColumn("label", F.coalesce("_label", "label")).drop("_label")
+    rest = cut(_candidates(filed, percent, False).join(first, ["a", "b"], "left_anti"))
+    links = links.union(_similar(rest, texts, words, percent))
+    return components(links).withColumnRenamed("id", "key")

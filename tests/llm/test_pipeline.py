@@ -1,11 +1,13 @@
 """The corpus pipeline against a plain run of its stages' rules, and the guard of the registry."""
 
+import random
+
 import numpy as np
 import pytest
 from test_text_operators import KINDS, corpus, plain_fingerprint
 
 import corpus_pipeline
-from pricegrain.llm import packing, secrets
+from pricegrain.llm import jaccard, packing, secrets
 from pricegrain.llm.common import local_components
 
 
@@ -69,3 +71,32 @@ def test_entry_registers_every_operator():
     names = entry.queries()
     assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
     assert set(entry.oracle_sql()) <= set(names)
+
+
+def plain_shingles(text):
+    words = text.lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+@pytest.mark.parametrize("often", [3, 10**9])
+def test_near_duplicates_are_all_pairs_of_similar_shingles(spark, monkeypatch, often):
+    monkeypatch.setattr(jaccard, "OFTEN", often)
+    r = random.Random(11)
+    vocabulary = [f"w{i}" for i in range(900)]
+    line, rows = " ".join(r.choices(vocabulary, k=30)), []
+    for _ in range(60):
+        base = r.choices(vocabulary, k=r.randrange(3, 120))
+        for _ in range(r.randrange(1, 7)):
+            near = list(base)
+            for _ in range(r.randrange(0, 4)):
+                near[r.randrange(len(near))] = r.choice(vocabulary)
+            rows.append((len(rows), " ".join(near) + (" " + line if r.random() < 0.5 else ""), "en", "s", 1, "", ""))
+    r.shuffle(rows)
+    sets = [plain_shingles(x[1]) for x in rows]
+    pairs = np.array([(i, j) for i in range(len(rows)) for j in range(i) if 10 * len(sets[i] & sets[j]) >= 8 * len(sets[i] | sets[j])])
+    label = local_components(len(rows), pairs[:, 0], pairs[:, 1])
+    least = {}
+    for i, x in enumerate(rows):
+        least[label[i]] = min(least.get(label[i], x[0]), x[0])
+    found = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, KINDS).repartition(5), "").collect()
+    assert sorted(x["doc_id"] for x in found) == sorted(least.values()) and len(found) < len(rows)
