@@ -3,7 +3,7 @@
 Each source's words are counted by exact document length. A target beyond the source's words repeats
 the whole source; what is left of the budget is first spread evenly over the lengths, then closed by
 larger lengths while it is wide, and at last fitted exactly by a bounded-knapsack dynamic programme
-over the lengths still unused. The plan says how many documents of each length to take; a seeded
+over the lengths still unused; few long documents are fitted by it as a whole. The plan says how many documents of each length to take; a seeded
 rank within (source, length) names them. Every source is planned in its own task from its histogram;
 the driver sees one row per source.
 """
@@ -18,8 +18,10 @@ from pyspark.sql import functions as F
 from .common import ranked
 
 WEIGHTS = (5, 2, 1)
-#: Budget that the dynamic programme fits, in words; a wider rest is narrowed first.
+#: Budget that the dynamic programme fits, in words; a wider rest is narrowed first, as far as lengths allow.
 FIT = 1 << 13
+#: Bytes of states up to which a source whose rest stays open is fitted as a whole.
+WIDE = 1 << 26
 #: The words that count towards a size.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -69,6 +71,25 @@ def knapsack(lengths: list[int], counts: list[int], budget: int) -> list[int]:
     return taken
 
 
+def exchange(lengths: np.ndarray, counts: np.ndarray, take: np.ndarray, budget: int) -> np.ndarray:
+    """``take`` with one document exchanged for another as long as that brings the sum nearer to ``budget``."""
+    take = take.copy()
+    while miss := budget - int((lengths * take).sum()):
+        own, free = np.flatnonzero(take), np.flatnonzero(counts > take)
+        if not len(own) or not len(free):
+            break
+        at = np.searchsorted(lengths[free], lengths[own] + miss)
+        by = np.concatenate([free[np.maximum(at - 1, 0)], free[np.minimum(at, len(free) - 1)]])
+        own = np.concatenate([own, own])
+        left = np.abs(miss - (lengths[by] - lengths[own]))
+        i = int(left.argmin())
+        if left[i] >= abs(miss):
+            break
+        take[own[i]] -= 1
+        take[by[i]] += 1
+    return take
+
+
 def plan(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     """Documents to take of each length (ascending, positive) for a sum as close to ``budget`` as can be."""
     total = int((lengths * counts).sum())
@@ -87,10 +108,29 @@ def plan(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
         if more > 0:
             take[i] += more
             rest -= more * int(lengths[i])
-    rest = min(rest, FIT)
     fits = np.flatnonzero((lengths <= 2 * rest) & (counts > take))[::-1]
-    if rest > 0:
+    if rest > FIT + FIT // 2:
+        # Every length left is above rest - FIT / 2: two documents are never nearer than one.
+        miss = np.abs(lengths[fits] - rest)
+        near = fits[(miss == miss.min(initial=rest)) & (miss < rest)]
+        take[near[-1:]] += 1
+    elif rest > 0:
         take[fits] += np.array(knapsack(lengths[fits].tolist(), (counts - take)[fits].tolist(), rest), np.int64)
+    # Only long documents are left: exchange them, with the documents taken so far or one more.
+    take = exchange(lengths, counts, take, budget)
+    free = np.flatnonzero(counts > take)
+    if budget != int((lengths * take).sum()) and len(free):
+        more = take.copy()
+        more[free[0]] += 1
+        more = exchange(lengths, counts, more, budget)
+        take = min(take, more, key=lambda x: abs(budget - int((lengths * x).sum())))
+    # Few long documents: the even share may stand in the way of a nearer sum.
+    miss = abs(budget - int((lengths * take).sum()))
+    most = np.minimum(counts, 2 * budget // lengths)
+    if miss and sum(int(c).bit_length() for c in most) * budget // 4 <= WIDE:
+        whole = np.array(knapsack(lengths[::-1].tolist(), counts[::-1].tolist(), budget)[::-1], np.int64)
+        if abs(budget - int((lengths * whole).sum())) < miss:
+            return whole
     return take
 
 

@@ -355,6 +355,28 @@ def test_mixing(docs, rows, none):
     assert mixing.mix(none).count() == 0
 
 
+def test_mixing_fits_long_documents():
+    assert mixing.plan(np.array([50_000]), np.array([3]), 99_000).tolist() == [2]
+    r = random.Random(3)
+    for _ in range(150):
+        kinds = r.randrange(1, 6)
+        lengths = np.array(sorted(r.sample(range(9_000, 120_000), kinds)))
+        counts = np.array([r.randrange(1, 4) for _ in range(kinds)])
+        budget = r.randrange(1, int((lengths * counts).sum()))
+        sums = {0}
+        for n, c in zip(lengths.tolist(), counts.tolist()):
+            sums = {s + n * k for s in sums for k in range(c + 1)}
+        take = mixing.plan(lengths, counts, budget)
+        assert (take >= 0).all() and (take <= counts).all()
+        assert abs(budget - int((lengths * take).sum())) == min(abs(budget - s) for s in sums)
+
+
+def test_mixing_drops_no_rest_of_many_long_documents():
+    lengths, counts = np.arange(40_000, 90_000, 10), np.full(5_000, 7)
+    for budget in (123_456_789, 700_000_001):
+        assert abs(budget - int((lengths * mixing.plan(lengths, counts, budget)).sum())) <= 5
+
+
 # ---- 9: licences ----
 
 
