@@ -16,6 +16,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows of an Arrow batch where whole texts pass: Spark's own default would hold ten times as many in a worker.
+BATCH_ROWS = 1000
+
+
+def lean(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches, which carry whole texts here, to ``BATCH_ROWS`` rows; a lower setting stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    rows = int(spark.conf.get(key))
+    if rows <= 0 or rows > BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def cut(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept as a reliable checkpoint, so that a lost executor costs a read.
 
@@ -141,12 +153,14 @@ def mapped(df: DataFrame, keep: list[str], reads: list[str], adds: str, f) -> Da
     new = StructType.fromDDL(adds)
     taken = {x.name for x in new}
     keep = [c for c in keep if c not in taken]
-    source = df.select(*[F.col(f"`{c}`") for c in keep], *[F.col(f"`{c}`").alias(f"_read{i}") for i, c in enumerate(reads)])
+    at = [keep.index(c) if c in keep else len(keep) + i for i, c in enumerate(reads)]  # a column that is kept as well is sent once
+    sent = [c for c, i in zip(reads, at) if i >= len(keep)]
+    at = [i if i < len(keep) else len(keep) + sent.index(c) for c, i in zip(reads, at)]
+    source = df.select(*[F.col(f"`{c}`") for c in [*keep, *sent]])
 
     def run(batches):
         for batch in batches:
-            lists = [batch.column(len(keep) + i).to_pylist() for i in range(len(reads))]
-            made = [pa.array(x, to_arrow_type(t.dataType)) for x, t in zip(f(*lists), new)]
+            made = [pa.array(x, to_arrow_type(t.dataType)) for x, t in zip(f(*[batch.column(i).to_pylist() for i in at]), new)]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *made], names=[*keep, *new.names])
 
     return source.mapInArrow(run, StructType([*source.schema.fields[: len(keep)], *new.fields]))

@@ -7,7 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import covertree, langid, licenses, mixing, packing, projections, quality, secrets, simhash, suffixes
-from .common import table
+from .common import lean
+from .common import table as read
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    lean(spark)
+    return read(spark, sf_dir, name)
 
 
 def op1_covertree(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -208,7 +208,11 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", alpha:
 
 
 def redact(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", mark: str = "[SECRET]", alpha: float = 0.01, fdr: float = 0.01) -> DataFrame:
-    """``docs`` with every span of its texts replaced by ``mark``; overlapping spans get one mark. Nulls stay."""
+    """``docs`` with every span of its texts replaced by ``mark``; overlapping spans get one mark.
+
+    Nulls and empty texts stay; long texts are scanned whole; repeated rows come back as often as they came, an
+    empty table gives an empty one; all other columns pass, whatever their names.
+    """
     model = fit(cut(scan(docs, id_col, text_col, alpha)), fdr)
 
     def clean(text):
@@ -226,5 +230,5 @@ def redact(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", mark
             at = max(at, b)
         return "".join([*out, text[at:]]) if out else text
 
-    out = mapped(docs.withColumnRenamed(text_col, "_text"), [c if c != text_col else "_text" for c in docs.columns], ["_text"], "_clean string", lambda texts: ([clean(t) for t in texts],))
-    return out.withColumn("_text", F.col("_clean")).drop("_clean").withColumnRenamed("_text", text_col)
+    out = mapped(docs.withColumn(text_col, F.col(text_col).cast("string")), docs.columns, [text_col], f"`{text_col}` string", lambda texts: ([clean(t) for t in texts],))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])

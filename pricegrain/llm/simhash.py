@@ -7,6 +7,11 @@ BK-tree, whose children are keyed by their integer Hamming distance to the paren
 follow only the edges within the radius. A shard beyond ``SHARD_CAP`` is cut into pieces; the tree of
 each piece is sent (a bounded broadcast) to the tasks that hold the other pieces' members. Tasks emit
 a spanning forest of the links they find, never the pairs of a group.
+
+``near_copies`` links texts by the similarity of their whole shingle sets. Sets of a similarity of 0.8 differ
+in about 10 of 64 bits and at times in over 20, too many for bit blocks, so its shards hold the texts that share a
+rare shingle (a prefix filter, which loses no pair); within a shard BK-trees find the fingerprints within a
+wide radius, and whole sets decide.
 """
 
 from __future__ import annotations
@@ -15,8 +20,10 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import components, cut, local_components, mapped
@@ -27,28 +34,42 @@ SHARD, SHARD_CAP = 512, 1024
 STEP = 1 << 15
 #: Most fingerprints in a leaf, which are compared directly.
 LEAF = 8
+#: Near copies: texts that are all counted for the order of shingles; of more, one in ``PART`` is. A shingle is
+#: frequent from ``OFTEN`` of them on, and at most ``MOST`` frequent ones are sent to the tasks.
+WHOLE, PART, OFTEN, MOST = 20_000, 16, 3, 200_000
+#: Postings that a task hands over at once, texts of a shard that all others meet first, keys that are broadcast at most.
+FILED, FIRST, SENT = 1 << 18, 4, 1 << 20
+#: Bits in which fingerprints of sets of a similarity of 0.8 may differ: mean 10, standard deviation 3.
+WIDE = 28
 
 
-def fingerprint(text: str | None, words: int = 3) -> int:
-    """64 majority bits over the XXH64 values (seed 42) of a text's word shingles; 0 if it has no word."""
+def hashes(text: str | None, words: int = 3) -> np.ndarray:
+    """XXH64 values (seed 42) of a text's word shingles, repeats included; a shorter text is one shingle."""
     parts = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not parts:
-        return 0
+        return np.zeros(0, "<u8")
     joined = b" ".join(parts)
     if len(parts) <= words:
-        hashes = [xxhash.xxh64_intdigest(joined, 42)]
-    else:
-        ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1)
-        starts = np.concatenate(([0], ends[:-words])).tolist()
-        h = xxhash.xxh64_intdigest
-        hashes = [h(joined[a:b], 42) for a, b in zip(starts, (ends[words - 1 :] - 1).tolist())]
+        return np.array([xxhash.xxh64_intdigest(joined, 42)], "<u8")
+    ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1)
+    starts = np.concatenate(([0], ends[:-words])).tolist()
+    h = xxhash.xxh64_intdigest
+    return np.array([h(joined[a:b], 42) for a, b in zip(starts, (ends[words - 1 :] - 1).tolist())], "<u8")
+
+
+def majority(values: np.ndarray) -> int:
+    """The bits that are set in over half of the values."""
     votes = np.zeros(64, np.int64)
-    values = np.array(hashes, dtype="<u8")
     for i in range(0, len(values), STEP):
         votes += np.unpackbits(values[i : i + STEP].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
     return int(np.packbits(2 * votes > len(values), bitorder="little").view("<u8")[0])
 
 
+def fingerprint(text: str | None, words: int = 3) -> int:
+    """64 majority bits over the hashes of a text's word shingles; 0 if it has no word."""
+    return majority(hashes(text, words))
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
     """(id, fp) of each row; null and wordless texts get 0. Other columns are not read."""
     def run(texts):
@@ -159,3 +180,234 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     least = node.groupBy("label").agg(F.min("least").alias("component_id"))
     known = node.join(least, "label").select("fp", "component_id")
     return prints.join(known, "fp").select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def need(n, percent: int):
+    """Least size of a set, and of the overlap, that reaches ``percent`` with a set of ``n``."""
+    return -(-n * percent // 100)
+
+
+def _frequent(texts: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ascending frequent shingles of the counted texts and how many of them hold each."""
+    if texts.count() > WHOLE:
+        texts = texts.where(F.pmod("key", F.lit(PART)) == 0)
+
+    def run(batches):
+        for batch in batches:
+            for t in batch.column(0).to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(hashes(t, words)).view(np.int64))], names=["item"])
+
+    counted = texts.select("text").mapInArrow(run, "item long").groupBy("item").count().where(F.col("count") >= OFTEN)
+    top = counted.orderBy(F.desc("count"), "item").limit(MOST).toPandas()
+    item, order = (x := top["item"].to_numpy(np.int64).view(np.uint64)), np.argsort(x)
+    return item[order], top["count"].to_numpy(np.int64)[order]
+
+
+#: A text in the listing of a map task: its number there, key, size of its set, fingerprint.
+_TEXT = np.dtype([("ref", "<u4"), ("key", "<i8"), ("n", "<u4"), ("fp", "<u8")])
+
+
+def _filed(texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """(item, key, n, fp): each distinct text under those prefix shingles that another text has as well.
+
+    What is shuffled is a shingle and a text's number in its task, 12 bytes, in arrays by shard of the shingles;
+    sizes and fingerprints are sent once for each text and joined to the shared shingles alone.
+    """
+    spark = texts.sparkSession
+    sent, shards = spark.sparkContext.broadcast(_frequent(texts, words)), 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def file(batches):
+        often, counts = sent.value
+        part, ref, items, refs, listed, waiting, met = TaskContext.get().partitionId(), 0, [], [], [], 0, set()
+
+        def hand_over():
+            item, own = np.concatenate(items), np.concatenate(refs)
+            shard = (item % np.uint64(shards)).astype(np.int32)
+            order = np.argsort(shard, kind="stable")
+            bounds = np.concatenate(([0], np.flatnonzero(np.diff(shard[order])) + 1, [len(order)]))
+            rows = [(int(shard[order[a]]), item[order[a:b]].tobytes(), own[order[a:b]].tobytes(), None) for a, b in zip(bounds[:-1], bounds[1:])]
+            rows.append((part % shards, None, None, np.array(listed, _TEXT).tobytes()))
+            shard, item, own, texts_ = zip(*rows)
+            return pa.RecordBatch.from_arrays([pa.array(shard, pa.int32()), pa.array([part] * len(rows), pa.int64()), pa.array(item, pa.binary()), pa.array(own, pa.binary()), pa.array(texts_, pa.binary())], names=["shard", "part", "items", "refs", "texts"])
+
+        for batch in batches:
+            for t, key in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if key in met:
+                    continue
+                met.add(key)
+                s = np.unique(hashes(t, words))
+                if not len(s):
+                    continue
+                listed.append((ref, key, len(s), majority(s)))
+                if len(often):
+                    at = np.minimum(np.searchsorted(often, s), len(often) - 1)
+                    s = s[np.argsort(np.where(often[at] == s, counts[at], 0), kind="stable")]
+                some = s[: len(s) - need(len(s), percent) + 1]
+                items.append(some)
+                refs.append(np.full(len(some), ref, "<u4"))
+                ref, waiting = ref + 1, waiting + len(some)
+                if waiting >= FILED:
+                    yield hand_over()
+                    items, refs, listed, waiting = [], [], [], 0
+        if listed:
+            yield hand_over()
+
+    def shared(batches):
+        def settle(items, refs):
+            item, ref = np.concatenate(items), np.concatenate(refs)
+            order = np.argsort(item, kind="stable")
+            item, ref = item[order], ref[order]
+            same = item[1:] == item[:-1]
+            more = np.concatenate(([False], same)) | np.concatenate((same, [False]))
+            n = int(more.sum())
+            return pa.RecordBatch.from_arrays([pa.array(item[more].view(np.int64)), pa.array(ref[more]), *[pa.nulls(n, pa.int64())] * 3], names=["item", "ref", "key", "n", "fp"])
+
+        last, items, refs = None, [], []
+        for batch in batches:
+            for shard, part, item, ref, texts_ in zip(*[c.to_pylist() for c in batch.columns]):
+                if texts_ is not None:
+                    x = np.frombuffer(texts_, _TEXT)
+                    columns = [pa.nulls(len(x), pa.int64()), pa.array(x["ref"].astype(np.int64) | part << 32), pa.array(x["key"]), pa.array(x["n"].astype(np.int64)), pa.array(x["fp"].view(np.int64) if x["fp"].flags.c_contiguous else np.ascontiguousarray(x["fp"]).view(np.int64))]
+                    yield pa.RecordBatch.from_arrays(columns, names=["item", "ref", "key", "n", "fp"])
+                    continue
+                if shard != last and items:
+                    yield settle(items, refs)
+                    items, refs = [], []
+                last = shard
+                items.append(np.frombuffer(item, "<u8"))
+                refs.append(np.frombuffer(ref, "<u4").astype(np.int64) | part << 32)
+        if items:
+            yield settle(items, refs)
+
+    sent_out = texts.select("text", "key").mapInArrow(file, "shard int, part long, items binary, refs binary, texts binary")
+    found = cut(sent_out.repartition("shard").sortWithinPartitions("shard").mapInArrow(shared, "item long, ref long, key long, n long, fp long"))
+    listed = found.where("item IS NULL").select("ref", "key", "n", "fp")
+    return cut(found.where("item IS NOT NULL").select("item", "ref").join(listed, "ref").select("item", "key", "n", "fp").distinct())
+
+
+def _may_link(n, other_n, fp, other_fp, percent: int, radius: int) -> Column:
+    near = F.bit_count(fp.bitwiseXOR(other_fp)) <= radius
+    return near & (100 * F.least(n, other_n) >= percent * F.greatest(n, other_n))
+
+
+def _first_pairs(filed: DataFrame, percent: int, radius: int) -> DataFrame:
+    """Pairs (a < b) of a text and one of ``FIRST`` texts drawn from each of its shingles."""
+    some = [F.min(F.struct(F.xxhash64(F.lit(i), "key").alias("draw"), "key", "n", "fp")).alias(f"p{i}") for i in range(FIRST)]
+    drawn = filed.groupBy("item").agg(F.min("key").alias("low"), F.max("key").alias("high"), *some).where("low <> high")
+    met = filed.join(drawn.select("item", F.array_distinct(F.array(*[f"p{i}" for i in range(FIRST)])).alias("ps")), "item").select("key", "n", "fp", F.explode("ps").alias("p"))
+    met = met.where((F.col("key") != F.col("p.key")) & _may_link(F.col("n"), F.col("p.n"), F.col("fp"), F.col("p.fp"), percent, radius))
+    return met.select(F.least("key", "p.key").alias("a"), F.greatest("key", "p.key").alias("b")).distinct()
+
+
+def _rest(filed: DataFrame, percent: int, radius: int) -> DataFrame:
+    """All pairs (a < b) of texts under one shingle that bear different labels and may be similar enough.
+
+    Shingles whose texts are linked already are left out; one with over ``SHARD_CAP`` texts is cut into pieces,
+    and every two pieces meet.
+    """
+    open_ = filed.groupBy("item").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("many")).where("low <> high")
+    rows = filed.join(open_.select("item", F.ceil(F.col("many") / SHARD_CAP).cast("int").alias("pieces")), "item")
+    rows = rows.withColumn("piece", F.pmod(F.xxhash64("key"), F.col("pieces")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
+    rows = rows.select("item", F.least("piece", "other").alias("tree"), F.greatest("piece", "other").alias("members"), (F.col("piece") <= F.col("other")).alias("in_tree"), "key", "n", "fp", "label")
+
+    def run(batches):
+        parts = [[] for _ in range(8)]
+
+        def meet():
+            item, tree, members, in_tree, key, n, fp, label = (np.concatenate(p) for p in parts)
+            ends = np.flatnonzero((item[1:] != item[:-1]) | (tree[1:] != tree[:-1]) | (members[1:] != members[:-1])) + 1
+            for a, b in zip([0, *ends.tolist()], [*ends.tolist(), len(item)]):
+                trees, queries = (np.flatnonzero(x) + a for x in (in_tree[a:b], ~in_tree[a:b])) if tree[a] != members[a] else (np.arange(a, b),) * 2
+                if len(trees) <= LEAF:
+                    q, v = np.nonzero(np.bitwise_count(fp[queries][:, None] ^ fp[trees][None, :]) <= radius)
+                else:
+                    q, v = BKTree(fp[trees]).search(fp[queries], radius)
+                q, v = queries[q], trees[v]
+                ok = (label[q] != label[v]) & (100 * np.minimum(n[q], n[v]) >= percent * np.maximum(n[q], n[v]))
+                if tree[a] == members[a]:
+                    ok &= key[q] < key[v]
+                if ok.any():
+                    yield np.minimum(key[q[ok]], key[v[ok]]), np.maximum(key[q[ok]], key[v[ok]])
+
+        def handed(found):
+            pairs = np.unique(np.stack([np.concatenate(x) for x in zip(*found)], 1), axis=0)
+            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+        out, waiting = [], 0
+        for batch in _whole_groups(batches):
+            parts = [[c.to_numpy(zero_copy_only=False)] for c in batch.columns]
+            parts[6][0] = parts[6][0].view(np.uint64)
+            for pair in meet():
+                out.append(pair)
+                waiting += len(pair[0])
+                if waiting >= FILED:
+                    yield handed(out)
+                    out, waiting = [], 0
+        if out:
+            yield handed(out)
+
+    by = ["item", "tree", "members"]
+    return rows.repartition(*by).sortWithinPartitions(*by).mapInArrow(run, "a long, b long").distinct()
+
+
+def _whole_groups(batches):
+    """The rows of sorted batches in tables that end where the first three columns change."""
+    left = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        heads = np.stack([batch.column(i).to_numpy().astype(np.int64) for i in range(3)], 1)
+        last = np.flatnonzero((heads != heads[-1]).any(1))
+        cut_at = int(last[-1]) + 1 if len(last) else 0
+        before = [int(left[-1].column(i)[-1].as_py()) for i in range(3)] if left else None
+        if left and (heads[0] != before).any():
+            yield pa.Table.from_batches(left).combine_chunks()
+            left = []
+        if cut_at:
+            yield pa.Table.from_batches([*left, batch.slice(0, cut_at)]).combine_chunks()
+            left = []
+        left.append(batch.slice(cut_at))
+    if left:
+        yield pa.Table.from_batches(left).combine_chunks()
+
+
+def _similar(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs whose whole sets are similar. Texts are looked up by broadcast keys if these are few, else by a join."""
+    wanted = pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct()
+    known = texts.join(F.broadcast(wanted) if wanted.count() <= SENT else wanted, "key", "left_semi")
+    known = cut(known.dropDuplicates(["key"]))
+    left, right = (known.select(F.col("key").alias(k), F.col("text").alias(f"t{k}")) for k in "ab")
+
+    def run(batches):
+        last, own = None, None
+        for batch in batches:
+            near = []
+            for i, a in enumerate(batch.column(0).to_pylist()):
+                if a != last:
+                    last, own = a, np.unique(hashes(batch.column(2)[i].as_py(), words))
+                other = np.unique(hashes(batch.column(3)[i].as_py(), words))
+                both = len(np.intersect1d(own, other, assume_unique=True))
+                near.append(100 * both >= percent * (len(own) + len(other) - both))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(near, pa.bool_()))
+
+    met = pairs.join(right, "b").join(left, "a").select("a", "b", "ta", "tb").sortWithinPartitions("a")
+    return met.mapInArrow(run, "a long, b long")
+
+
+def near_copies(docs: DataFrame, text_col: str = "text", words: int = 5, percent: int = 80, radius: int = WIDE) -> DataFrame:
+    """(key, label) of the texts that have a near copy; ``key`` is XXH64 of the text, ``label`` that of its group.
+
+    Texts whose sets of ``words``-word shingles have a Jaccard similarity of ``percent`` or more are linked, and
+    groups are what links join. Every pair is considered whose fingerprints (of the distinct shingles) differ in at
+    most ``radius`` bits; of pairs at exactly 0.8 fewer than one in a million lies beyond 28. Null and wordless
+    texts have no near copy; a text shorter than ``words`` is one shingle; repeated texts are one; an empty
+    table gives an empty one; long texts are compared as a whole. Other columns are not read.
+    """
+    texts = docs.select(F.col(text_col).cast("string").alias("text")).where("text IS NOT NULL").withColumn("key", F.xxhash64("text"))
+    filed = _filed(texts, words, percent)
+    first = cut(_first_pairs(filed, percent, radius))
+    links = cut(_similar(first, texts, words, percent))
+    label = components(links).withColumnRenamed("label", "_label")
+    filed = filed.join(label.withColumnRenamed("id", "key"), "key", "left").withColumn("label", F.coalesce("_label", "key")).drop("_label")
+    rest = cut(_rest(filed, percent, radius).join(first, ["a", "b"], "left_anti"))
+    return components(links.union(_similar(rest, texts, words, percent))).withColumnRenamed("id", "key")
