@@ -4,10 +4,10 @@ import random
 
 import numpy as np
 import pytest
-from test_text_operators import KINDS, corpus, plain_fingerprint
+from test_text_operators import KINDS, corpus
 
 import corpus_pipeline
-from pricegrain.llm import jaccard, packing, secrets
+from pricegrain.llm import packing, secrets, simhash
 from pricegrain.llm.common import local_components
 
 
@@ -30,15 +30,8 @@ def test_stages_and_their_columns(spark, rows, tmp_path):
     lettered = [r for r in rows if r[1] and any(c.isalpha() for c in r[1])]
     clear = seen["language"]
     assert {r["doc_id"] for r in clear} <= {r[0] for r in lettered} and {r["doc_id"] for r in clear} >= set(range(76))
-    kept = [r for r in clear if r["doc_id"] is not None]
-    fp = [plain_fingerprint(r["text"]) for r in kept]
-    pairs = np.array([(i, j) for i in range(len(fp)) for j in range(i) if (fp[i] ^ fp[j]).bit_count() <= 2])
-    label = local_components(len(fp), pairs[:, 0], pairs[:, 1])
-    least = {}
-    for i, r in enumerate(kept):
-        least[label[i]] = min(least.get(label[i], r["doc_id"]), r["doc_id"])
     one_each = seen["near_duplicates"]
-    assert sorted(r["doc_id"] for r in one_each if r["doc_id"] is not None) == sorted(least.values())
+    assert sorted(map(last, (r["doc_id"] for r in one_each))) == sorted(map(last, plain_kept(clear)))
     assert len(seen["secrets"]) == len(one_each)
     for r in seen["secrets"]:
         assert not secrets.base_spans(r["text"]) and r["n_chars"] == len(r["text"])
@@ -78,9 +71,25 @@ def plain_shingles(text):
     return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
 
 
-@pytest.mark.parametrize("often", [3, 10**9])
-def test_near_duplicates_are_all_pairs_of_similar_shingles(spark, monkeypatch, often):
-    monkeypatch.setattr(jaccard, "OFTEN", often)
+def last(x):
+    return (x is None, x)
+
+
+def plain_kept(docs):
+    """The smallest id, null last, of each group that five-word similarities of 0.8 or more join, by brute force."""
+    sets = [plain_shingles(r["text"]) for r in docs]
+    pairs = [(i, j) for i in range(len(sets)) for j in range(i) if docs[i]["text"] == docs[j]["text"] or 10 * len(sets[i] & sets[j]) >= 8 * len(sets[i] | sets[j])]
+    a, b = zip(*pairs)
+    least = {}
+    for k, r in zip(local_components(len(sets), np.array(a), np.array(b)), docs):
+        least[k] = min(least.get(k, (True, None)), last(r["doc_id"]))
+    return [x for _, x in least.values()]
+
+
+@pytest.mark.parametrize(("often", "cap", "sent"), [(3, 1024, 1 << 20), (10**9, 8, 0)])
+def test_near_duplicates_are_all_pairs_of_similar_shingles(spark, monkeypatch, often, cap, sent):
+    for name, value in (("OFTEN", often), ("SHARD_CAP", cap), ("SENT", sent), ("FILED", 50 * cap), ("FIRST", 1 if cap == 8 else 4)):
+        monkeypatch.setattr(simhash, name, value)
     r = random.Random(11)
     vocabulary = [f"w{i}" for i in range(900)]
     line, rows = " ".join(r.choices(vocabulary, k=30)), []
@@ -92,11 +101,21 @@ def test_near_duplicates_are_all_pairs_of_similar_shingles(spark, monkeypatch, o
                 near[r.randrange(len(near))] = r.choice(vocabulary)
             rows.append((len(rows), " ".join(near) + (" " + line if r.random() < 0.5 else ""), "en", "s", 1, "", ""))
     r.shuffle(rows)
-    sets = [plain_shingles(x[1]) for x in rows]
-    pairs = np.array([(i, j) for i in range(len(rows)) for j in range(i) if 10 * len(sets[i] & sets[j]) >= 8 * len(sets[i] | sets[j])])
-    label = local_components(len(rows), pairs[:, 0], pairs[:, 1])
-    least = {}
-    for i, x in enumerate(rows):
-        least[label[i]] = min(least.get(label[i], x[0]), x[0])
+    rows += [rows[3], (None, rows[4][1], "en", "s", 1, "", ""), (None, "of its own", "en", "s", 1, "", ""), (7000, "two texts", "en", "s", 1, "", ""), (7000, "under one id", "en", "s", 1, "", "")]
+    want = plain_kept([dict(zip(("doc_id", "text"), x)) for x in rows])
     found = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, KINDS).repartition(5), "").collect()
-    assert sorted(x["doc_id"] for x in found) == sorted(least.values()) and len(found) < len(rows)
+    assert sorted((last(x["doc_id"]) for x in found)) == sorted(map(last, want)) and len(found) < len(rows)
+
+
+def test_clashing_columns_and_repeats_pass_the_stages(spark):
+    """Extra columns of any name come through unchanged; every row keeps its own."""
+    kinds = "doc_id long, text string, lang string, source string, n_chars long, key string, mark string, id string, copies string, _text string, _clean string, _copies string, c0 string, label string, lang_pred string"
+    extra = tuple(f"x{i}" for i in range(10))
+    rows = [(i, f"the {i} and that with from this have they were " * (1 + i % 3), "en", "s", 1, *extra) for i in range(40)]
+    rows += [rows[5], rows[5], (41, "Word " * 3000, "en", None, None, *extra), (42, "", "en", "s", 0, *extra), (43, None, None, None, None, *extra)]
+    docs = spark.createDataFrame(rows, kinds)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, "")
+        assert out.columns == docs.columns
+        found = out.collect()
+        assert found and all(tuple(r)[5:] == extra for r in found)
