@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import tempfile
 
 import numpy as np
@@ -28,6 +30,22 @@ def lean(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_ROWS))
 
 
+def tidy(run):
+    """A task's generator that gives its freed memory back at the end: Spark keeps the worker for other tasks."""
+
+    @functools.wraps(run)
+    def whole(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the GNU C library has it
+            if trim:
+                trim(0)
+
+    return whole
+
+
 def cut(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept as a reliable checkpoint, so that a lost executor costs a read.
 
@@ -120,6 +138,7 @@ def ranked(df: DataFrame, groups: list[str], order: list[str], partitions: int |
         for g, c in counts[p].items():
             so_far[g] = so_far.get(g, 0) + c
 
+    @tidy
     def run(batches):
         last, at = None, 0
         for batch in batches:
@@ -144,11 +163,11 @@ def crc_fold(column: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % 4, F.lit(0))
 
 
-def mapped(df: DataFrame, keep: list[str], reads: list[str], adds: str, f) -> DataFrame:
+def mapped(df: DataFrame, keep: list[str], reads: list[str], adds: str, f, after=None) -> DataFrame:
     """Columns ``keep`` of ``df`` unchanged, and the columns ``adds`` (DDL) that ``f`` makes.
 
     ``f`` gets the columns ``reads`` of an Arrow batch as lists (nulls are None) and returns a list or
-    array for each added column. Kept columns stay in Arrow, so that null or large ids are exact.
+    array for each added column; ``after``, if given, is called when a task has no more batches. Kept columns stay in Arrow, so that null or large ids are exact.
     """
     new = StructType.fromDDL(adds)
     taken = {x.name for x in new}
@@ -158,9 +177,12 @@ def mapped(df: DataFrame, keep: list[str], reads: list[str], adds: str, f) -> Da
     at = [i if i < len(keep) else len(keep) + sent.index(c) for c, i in zip(reads, at)]
     source = df.select(*[F.col(f"`{c}`") for c in [*keep, *sent]])
 
+    @tidy
     def run(batches):
         for batch in batches:
             made = [pa.array(x, to_arrow_type(t.dataType)) for x, t in zip(f(*[batch.column(i).to_pylist() for i in at]), new)]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *made], names=[*keep, *new.names])
+        if after:
+            after()
 
     return source.mapInArrow(run, StructType([*source.schema.fields[: len(keep)], *new.fields]))

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_fold, mapped
+from .common import crc_fold, mapped, tidy
 
 BUCKETS = 1 << 12
 #: Bytes hashed at once; long texts go in steps that overlap by two bytes.
@@ -113,6 +113,7 @@ def train(docs: DataFrame, rows_per_language: int = 500, id_col: str = "doc_id",
     keep = F.create_map(*[F.lit(v) for lang, n in counts.items() for v in (lang, min(1.0, cap / n))])
     draw = F.pmod(F.xxhash64("id", F.lit(7)), F.lit(1 << 30)) / float(1 << 30)
 
+    @tidy
     def run(batches):
         for frame in batches:
             frame = frame[[has_letter(t) for t in frame["t"]]]

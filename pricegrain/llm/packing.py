@@ -42,7 +42,7 @@ class Encoder:
     """Ids of texts as little-endian 32-bit bytes.
 
     A worker remembers the ids of the words it has met. New words are cut into the tokenizer's parts, and the
-    merges of many new parts run at once over arrays; the tokenizer itself encodes what isn't plain.
+    merges of many new parts run at once over arrays; the tokenizer itself encodes what isn't plain, special tokens such as ``<|endoftext|>`` included.
     """
 
     _open: dict = {}
@@ -51,9 +51,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.words = Memory()
-        model = json.loads(self.tokenizer.to_str())["model"]
+        whole = json.loads(self.tokenizer.to_str())
+        model, self.special = whole["model"], [x["content"] for x in whole["added_tokens"]]
         ids = model["vocab"]
         shown = byte_letters()
         self.inner = np.array([ids.get(c, -1) for c in shown], np.int64)
@@ -65,6 +65,12 @@ class Encoder:
         self.made = np.array([ids[a + b] for a, b in pairs], np.int64)
         self.simple = max(ids.values()) < 1 << 16 and (self.inner >= 0).all() and (self.last >= 0).all()
 
+    @classmethod
+    def forget(cls) -> None:
+        """Drop the words that this process has met; the next task meets others."""
+        for encoder in cls._open.values():
+            encoder.words = Memory()
+
     @classmethod
     def at(cls, path: str) -> Encoder:
         if path not in cls._open:
@@ -138,7 +144,7 @@ class Encoder:
         for i, t in enumerate(texts):
             if not t:
                 yield i, END
-            elif not _PLAIN.fullmatch(t) or "<|" in t:
+            elif not _PLAIN.fullmatch(t) or any(x in t for x in self.special):
                 yield i, self.ids(t) + END
             else:
                 waiting.append((i, t.lower().split()))
@@ -204,7 +210,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leng
         return ([[dict(zip(("piece", "start", "length", "ids_crc32"), x)) for x in xs] for xs in out],)
 
     narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t"))
-    return mapped(narrow, ["id"], ["t"], "p array<struct<piece:int,start:long,length:long,ids_crc32:long>>", run).select("id", F.explode("p").alias("p")).select("id", "p.*")
+    return mapped(narrow, ["id"], ["t"], "p array<struct<piece:int,start:long,length:long,ids_crc32:long>>", run, Encoder.forget).select("id", F.explode("p").alias("p")).select("id", "p.*")
 
 
 def plan(counts: dict[int, int], capacity: int) -> tuple[dict[int, list[tuple[int, int, int]]], int]:

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, cut, local_components, mapped
+from .common import components, cut, local_components, mapped, tidy
 
 #: Mean and most fingerprints of one shard tree.
 SHARD, SHARD_CAP = 512, 1024
@@ -192,6 +192,7 @@ def _frequent(texts: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
     if texts.count() > WHOLE:
         texts = texts.where(F.pmod("key", F.lit(PART)) == 0)
 
+    @tidy
     def run(batches):
         for batch in batches:
             for t in batch.column(0).to_pylist():
@@ -208,28 +209,29 @@ _TEXT = np.dtype([("ref", "<u4"), ("key", "<i8"), ("n", "<u4"), ("fp", "<u8")])
 
 
 def _filed(texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """(item, key, n, fp): each distinct text under those prefix shingles that another text has as well.
+    """(item, piece, pieces, key, n, fp): each distinct text under those prefix shingles that another text has as well.
+    A shingle that over ``SHARD_CAP`` listings share is in several pieces; a piece lies in one partition, sorted.
 
-    What is shuffled is a shingle and a text's number in its task, 12 bytes, in arrays by shard of the shingles;
-    sizes and fingerprints are sent once for each text and joined to the shared shingles alone.
+    What is shuffled at first is a shingle and a text's number in its task, 12 bytes, in arrays by shard of the
+    shingles; sizes and fingerprints are sent once for each text and joined to the shared shingles alone.
     """
     spark = texts.sparkSession
     sent, shards = spark.sparkContext.broadcast(_frequent(texts, words)), 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
+    def handed(part, items, refs, listed):
+        item, own = np.concatenate(items), np.concatenate(refs)
+        shard = (item % np.uint64(shards)).astype(np.int32)
+        order = np.argsort(shard, kind="stable")
+        bounds = [0, *(np.flatnonzero(np.diff(shard[order])) + 1).tolist(), len(order)]
+        rows = [(int(shard[order[a]]), item[order[a:b]].tobytes(), own[order[a:b]].tobytes(), None) for a, b in zip(bounds, bounds[1:])]
+        shard, item, own, texts_ = zip(*rows, (part % shards, None, None, np.array(listed, _TEXT).tobytes()))
+        arrays = [pa.array(shard, pa.int32()), pa.array([part] * len(shard), pa.int64()), *[pa.array(x, pa.binary()) for x in (item, own, texts_)]]
+        return pa.RecordBatch.from_arrays(arrays, names=["shard", "part", "items", "refs", "texts"])
+
+    @tidy
     def file(batches):
         often, counts = sent.value
         part, ref, items, refs, listed, waiting, met = TaskContext.get().partitionId(), 0, [], [], [], 0, set()
-
-        def hand_over():
-            item, own = np.concatenate(items), np.concatenate(refs)
-            shard = (item % np.uint64(shards)).astype(np.int32)
-            order = np.argsort(shard, kind="stable")
-            bounds = np.concatenate(([0], np.flatnonzero(np.diff(shard[order])) + 1, [len(order)]))
-            rows = [(int(shard[order[a]]), item[order[a:b]].tobytes(), own[order[a:b]].tobytes(), None) for a, b in zip(bounds[:-1], bounds[1:])]
-            rows.append((part % shards, None, None, np.array(listed, _TEXT).tobytes()))
-            shard, item, own, texts_ = zip(*rows)
-            return pa.RecordBatch.from_arrays([pa.array(shard, pa.int32()), pa.array([part] * len(rows), pa.int64()), pa.array(item, pa.binary()), pa.array(own, pa.binary()), pa.array(texts_, pa.binary())], names=["shard", "part", "items", "refs", "texts"])
-
         for batch in batches:
             for t, key in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if key in met:
@@ -247,137 +249,155 @@ def _filed(texts: DataFrame, words: int, percent: int) -> DataFrame:
                 refs.append(np.full(len(some), ref, "<u4"))
                 ref, waiting = ref + 1, waiting + len(some)
                 if waiting >= FILED:
-                    yield hand_over()
+                    yield handed(part, items, refs, listed)
                     items, refs, listed, waiting = [], [], [], 0
         if listed:
-            yield hand_over()
+            yield handed(part, items, refs, listed)
 
-    def shared(batches):
-        def settle(items, refs):
-            item, ref = np.concatenate(items), np.concatenate(refs)
-            order = np.argsort(item, kind="stable")
-            item, ref = item[order], ref[order]
-            same = item[1:] == item[:-1]
-            more = np.concatenate(([False], same)) | np.concatenate((same, [False]))
-            n = int(more.sum())
-            return pa.RecordBatch.from_arrays([pa.array(item[more].view(np.int64)), pa.array(ref[more]), *[pa.nulls(n, pa.int64())] * 3], names=["item", "ref", "key", "n", "fp"])
+    names = ["item", "ref", "key", "n", "fp"]
+
+    def shared_of(items, refs):
+        item, ref = np.concatenate(items), np.concatenate(refs)
+        order = np.argsort(item, kind="stable")
+        item, ref = item[order], ref[order]
+        same = item[1:] == item[:-1]
+        more = np.concatenate(([False], same)) | np.concatenate((same, [False]))
+        return pa.RecordBatch.from_arrays([pa.array(item[more].view(np.int64)), pa.array(ref[more]), *[pa.nulls(int(more.sum()), pa.int64())] * 3], names=names)
 
+    @tidy
+    def shared(batches):
         last, items, refs = None, [], []
         for batch in batches:
             for shard, part, item, ref, texts_ in zip(*[c.to_pylist() for c in batch.columns]):
                 if texts_ is not None:
                     x = np.frombuffer(texts_, _TEXT)
-                    columns = [pa.nulls(len(x), pa.int64()), pa.array(x["ref"].astype(np.int64) | part << 32), pa.array(x["key"]), pa.array(x["n"].astype(np.int64)), pa.array(x["fp"].view(np.int64) if x["fp"].flags.c_contiguous else np.ascontiguousarray(x["fp"]).view(np.int64))]
-                    yield pa.RecordBatch.from_arrays(columns, names=["item", "ref", "key", "n", "fp"])
+                    columns = [x["ref"].astype(np.int64) | part << 32, x["key"].astype(np.int64), x["n"].astype(np.int64), x["fp"].astype(np.uint64).view(np.int64)]
+                    yield pa.RecordBatch.from_arrays([pa.nulls(len(x), pa.int64()), *map(pa.array, columns)], names=names)
                     continue
                 if shard != last and items:
-                    yield settle(items, refs)
+                    yield shared_of(items, refs)
                     items, refs = [], []
                 last = shard
                 items.append(np.frombuffer(item, "<u8"))
                 refs.append(np.frombuffer(ref, "<u4").astype(np.int64) | part << 32)
         if items:
-            yield settle(items, refs)
+            yield shared_of(items, refs)
 
-    sent_out = texts.select("text", "key").mapInArrow(file, "shard int, part long, items binary, refs binary, texts binary")
-    found = cut(sent_out.repartition("shard").sortWithinPartitions("shard").mapInArrow(shared, "item long, ref long, key long, n long, fp long"))
-    listed = found.where("item IS NULL").select("ref", "key", "n", "fp")
-    return cut(found.where("item IS NOT NULL").select("item", "ref").join(listed, "ref").select("item", "key", "n", "fp").distinct())
+    handed_out = texts.select("text", "key").mapInArrow(file, "shard int, part long, items binary, refs binary, texts binary")
+    found = cut(handed_out.repartition("shard").sortWithinPartitions("shard").mapInArrow(shared, "item long, ref long, key long, n long, fp long"))
+    posted, listed = found.where("item IS NOT NULL").select("item", "ref"), found.where("item IS NULL").select("ref", "key", "n", "fp")
+    hot = cut(posted.groupBy("item").count().where(F.col("count") > SHARD_CAP).select("item", F.ceil(F.col("count") / SHARD_CAP).cast("int").alias("pieces")))
+    rows = posted.join(listed, "ref").drop("ref").join(F.broadcast(hot) if hot.count() <= SENT else hot, "item", "left")
+    rows = rows.withColumn("pieces", F.coalesce("pieces", F.lit(1))).withColumn("piece", F.pmod(F.xxhash64("key"), F.col("pieces")).cast("int"))
+    return cut(rows.repartition("item", "piece").dropDuplicates(["item", "piece", "key"]).sortWithinPartitions("item", "piece").select("item", "piece", "pieces", "key", "n", "fp"))
 
 
-def _may_link(n, other_n, fp, other_fp, percent: int, radius: int) -> Column:
-    near = F.bit_count(fp.bitwiseXOR(other_fp)) <= radius
-    return near & (100 * F.least(n, other_n) >= percent * F.greatest(n, other_n))
+def _handed_pairs(found):
+    pairs = np.unique(np.stack([np.concatenate(x) for x in zip(*found)], 1), axis=0)
+    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
 
 def _first_pairs(filed: DataFrame, percent: int, radius: int) -> DataFrame:
-    """Pairs (a < b) of a text and one of ``FIRST`` texts drawn from each of its shingles."""
+    """Pairs (a < b) of a text and one of ``FIRST`` texts of the same shingle.
+
+    Within a shingle these lie at even ranks. A shingle in several pieces has ``FIRST`` more that are drawn by hash
+    and meet the texts of all its pieces in a join.
+    """
+
+    @tidy
+    def run(batches):
+        for table in _whole_groups(batches, 2):
+            item, piece, _, key, n, fp = (c.to_numpy() for c in table.columns)
+            fp = fp.view(np.uint64)
+            start = np.concatenate(([0], np.flatnonzero((item[1:] != item[:-1]) | (piece[1:] != piece[:-1])) + 1))
+            size = np.diff(np.append(start, len(item)))
+            out = []
+            for i in range(FIRST):
+                own = np.repeat(start + i * size // FIRST, size)
+                ok = (key != key[own]) & (np.bitwise_count(fp ^ fp[own]) <= radius) & (100 * np.minimum(n, n[own]) >= percent * np.maximum(n, n[own]))
+                out.append((np.minimum(key, key[own])[ok], np.maximum(key, key[own])[ok]))
+            yield _handed_pairs(out)
+
     some = [F.min(F.struct(F.xxhash64(F.lit(i), "key").alias("draw"), "key", "n", "fp")).alias(f"p{i}") for i in range(FIRST)]
-    drawn = filed.groupBy("item").agg(F.min("key").alias("low"), F.max("key").alias("high"), *some).where("low <> high")
-    met = filed.join(drawn.select("item", F.array_distinct(F.array(*[f"p{i}" for i in range(FIRST)])).alias("ps")), "item").select("key", "n", "fp", F.explode("ps").alias("p"))
-    met = met.where((F.col("key") != F.col("p.key")) & _may_link(F.col("n"), F.col("p.n"), F.col("fp"), F.col("p.fp"), percent, radius))
-    return met.select(F.least("key", "p.key").alias("a"), F.greatest("key", "p.key").alias("b")).distinct()
+    many = filed.where("pieces > 1")
+    drawn = many.groupBy("item").agg(*some).select("item", F.array_distinct(F.array(*[f"p{i}" for i in range(FIRST)])).alias("ps"))
+    met = many.join(drawn, "item").select("key", "n", "fp", F.explode("ps").alias("p")).where("key <> p.key")
+    met = met.where((F.bit_count(F.col("fp").bitwiseXOR(F.col("p.fp"))) <= radius) & (100 * F.least("n", "p.n") >= percent * F.greatest("n", "p.n")))
+    return filed.mapInArrow(run, "a long, b long").union(met.select(F.least("key", "p.key"), F.greatest("key", "p.key"))).distinct()
 
 
 def _rest(filed: DataFrame, percent: int, radius: int) -> DataFrame:
     """All pairs (a < b) of texts under one shingle that bear different labels and may be similar enough.
 
-    Shingles whose texts are linked already are left out; one with over ``SHARD_CAP`` texts is cut into pieces,
-    and every two pieces meet.
+    Shingles whose texts are linked already are left out. Of one in several pieces, every two pieces meet.
     """
-    open_ = filed.groupBy("item").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("many")).where("low <> high")
-    rows = filed.join(open_.select("item", F.ceil(F.col("many") / SHARD_CAP).cast("int").alias("pieces")), "item")
-    rows = rows.withColumn("piece", F.pmod(F.xxhash64("key"), F.col("pieces")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
-    rows = rows.select("item", F.least("piece", "other").alias("tree"), F.greatest("piece", "other").alias("members"), (F.col("piece") <= F.col("other")).alias("in_tree"), "key", "n", "fp", "label")
+    many = filed.where("pieces > 1")
+    open_ = many.groupBy("item").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("item")
+    many = many.join(open_, "item").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
+    many = many.select("item", F.least("piece", "other").alias("tree"), F.greatest("piece", "other").alias("members"), (F.col("piece") <= F.col("other")).alias("in_tree"), "key", "n", "fp", "label")
+    rows = filed.where("pieces = 1").select("item", F.lit(0).alias("tree"), F.lit(0).alias("members"), F.lit(True).alias("in_tree"), "key", "n", "fp", "label").union(many)
 
+    @tidy
     def run(batches):
-        parts = [[] for _ in range(8)]
-
-        def meet():
-            item, tree, members, in_tree, key, n, fp, label = (np.concatenate(p) for p in parts)
-            ends = np.flatnonzero((item[1:] != item[:-1]) | (tree[1:] != tree[:-1]) | (members[1:] != members[:-1])) + 1
-            for a, b in zip([0, *ends.tolist()], [*ends.tolist(), len(item)]):
-                trees, queries = (np.flatnonzero(x) + a for x in (in_tree[a:b], ~in_tree[a:b])) if tree[a] != members[a] else (np.arange(a, b),) * 2
+        out, waiting = [], 0
+        for table in _whole_groups(batches, 3):
+            item, tree, members, in_tree, key, n, fp, label = (c.to_numpy() for c in table.columns)
+            fp = fp.view(np.uint64)
+            start = np.concatenate(([0], np.flatnonzero((item[1:] != item[:-1]) | (tree[1:] != tree[:-1]) | (members[1:] != members[:-1])) + 1))
+            end = np.append(start[1:], len(item))
+            open_ = np.minimum.reduceat(label, start) != np.maximum.reduceat(label, start)
+            for a, b in zip(start[open_].tolist(), end[open_].tolist()):
+                alone = tree[a] == members[a]
+                trees, queries = (np.arange(a, b),) * 2 if alone else (np.flatnonzero(in_tree[a:b]) + a, np.flatnonzero(~in_tree[a:b]) + a)
                 if len(trees) <= LEAF:
                     q, v = np.nonzero(np.bitwise_count(fp[queries][:, None] ^ fp[trees][None, :]) <= radius)
                 else:
                     q, v = BKTree(fp[trees]).search(fp[queries], radius)
                 q, v = queries[q], trees[v]
                 ok = (label[q] != label[v]) & (100 * np.minimum(n[q], n[v]) >= percent * np.maximum(n[q], n[v]))
-                if tree[a] == members[a]:
+                if alone:
                     ok &= key[q] < key[v]
-                if ok.any():
-                    yield np.minimum(key[q[ok]], key[v[ok]]), np.maximum(key[q[ok]], key[v[ok]])
-
-        def handed(found):
-            pairs = np.unique(np.stack([np.concatenate(x) for x in zip(*found)], 1), axis=0)
-            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
-
-        out, waiting = [], 0
-        for batch in _whole_groups(batches):
-            parts = [[c.to_numpy(zero_copy_only=False)] for c in batch.columns]
-            parts[6][0] = parts[6][0].view(np.uint64)
-            for pair in meet():
-                out.append(pair)
-                waiting += len(pair[0])
+                q, v = key[q[ok]], key[v[ok]]
+                out.append((np.minimum(q, v), np.maximum(q, v)))
+                waiting += len(q)
                 if waiting >= FILED:
-                    yield handed(out)
+                    yield _handed_pairs(out)
                     out, waiting = [], 0
         if out:
-            yield handed(out)
+            yield _handed_pairs(out)
 
     by = ["item", "tree", "members"]
     return rows.repartition(*by).sortWithinPartitions(*by).mapInArrow(run, "a long, b long").distinct()
 
 
-def _whole_groups(batches):
-    """The rows of sorted batches in tables that end where the first three columns change."""
-    left = []
+def _whole_groups(batches, by: int):
+    """The rows of sorted batches in tables that end where one of the first ``by`` columns changes."""
+    left, head = [], None
     for batch in batches:
         if not batch.num_rows:
             continue
-        heads = np.stack([batch.column(i).to_numpy().astype(np.int64) for i in range(3)], 1)
-        last = np.flatnonzero((heads != heads[-1]).any(1))
-        cut_at = int(last[-1]) + 1 if len(last) else 0
-        before = [int(left[-1].column(i)[-1].as_py()) for i in range(3)] if left else None
-        if left and (heads[0] != before).any():
+        heads = np.stack([batch.column(i).to_numpy().astype(np.int64) for i in range(by)], 1)
+        if left and (heads[0] != head).any():
             yield pa.Table.from_batches(left).combine_chunks()
             left = []
-        if cut_at:
-            yield pa.Table.from_batches([*left, batch.slice(0, cut_at)]).combine_chunks()
+        others = np.flatnonzero((heads != heads[-1]).any(1))
+        end = int(others[-1]) + 1 if len(others) else 0
+        if end:
+            yield pa.Table.from_batches([*left, batch.slice(0, end)]).combine_chunks()
             left = []
-        left.append(batch.slice(cut_at))
+        left.append(batch.slice(end))
+        head = heads[-1]
     if left:
         yield pa.Table.from_batches(left).combine_chunks()
 
 
 def _similar(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs whose whole sets are similar. Texts are looked up by broadcast keys if these are few, else by a join."""
-    wanted = pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct()
-    known = texts.join(F.broadcast(wanted) if wanted.count() <= SENT else wanted, "key", "left_semi")
-    known = cut(known.dropDuplicates(["key"]))
+    wanted = cut(pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct())
+    known = texts.join(F.broadcast(wanted) if wanted.count() <= SENT else wanted, "key", "left_semi").dropDuplicates(["key"])
     left, right = (known.select(F.col("key").alias(k), F.col("text").alias(f"t{k}")) for k in "ab")
 
+    @tidy
     def run(batches):
         last, own = None, None
         for batch in batches:
@@ -408,6 +428,7 @@ def near_copies(docs: DataFrame, text_col: str = "text", words: int = 5, percent
     first = cut(_first_pairs(filed, percent, radius))
     links = cut(_similar(first, texts, words, percent))
     label = components(links).withColumnRenamed("label", "_label")
-    filed = filed.join(label.withColumnRenamed("id", "key"), "key", "left").withColumn("label", F.coalesce("_label", "key")).drop("_label")
+    label = cut(label.withColumnRenamed("id", "key"))
+    filed = filed.join(F.broadcast(label) if label.count() <= SENT else label, "key", "left").withColumn("label", F.coalesce("_label", "key")).drop("_label")
     rest = cut(_rest(filed, percent, radius).join(first, ["a", "b"], "left_anti"))
     return components(links.union(_similar(rest, texts, words, percent))).withColumnRenamed("id", "key")

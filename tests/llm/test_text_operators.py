@@ -234,8 +234,12 @@ def test_packing(docs, rows, none):
 
 def test_encoder_equals_the_tokenizer(rows):
     encoder = packing.Encoder(packing.default_vocabulary())
-    texts = [r[1] for r in rows] + ["It's a'super '' 're x''s don't", "ĀĒ ½ 12 a1b2 ²³", "ﬁ é é İ ẞ", "x" * 100, "a b\x85c", "日本語 text", "ab\x1cc", "<|endoftext|>", "ŉ ǅ ª ¬×÷", "\n", "a\x00b"]
-    assert dict(encoder.encode(texts)) == {i: encoder.ids(t or "") + packing.END for i, t in enumerate(texts)}
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(packing.default_vocabulary())
+    texts = [r[1] for r in rows] + ["hello <|endoftext|> world", "a<|startoftext|>b <| x", "It's a'super '' 're x''s don't", "ĀĒ ½ 12 a1b2 ²³", "ﬁ é é İ ẞ", "x" * 100, "a b\x85c", "日本語 text", "ab\x1cc", "<|endoftext|>", "ŉ ǅ ª ¬×÷", "\n", "a\x00b"]
+    want = {i: np.array([*plain.encode(t or "", add_special_tokens=False).ids, 1], "<u4").tobytes() for i, t in enumerate(texts)}
+    assert dict(encoder.encode(texts)) == want and 49407 in np.frombuffer(want[len(rows)], "<u4")
 
 
 def test_plan_is_best_fit():
