@@ -36,7 +36,7 @@ STEP = 1 << 15
 LEAF = 8
 #: Near copies: texts that are all counted for the order of shingles; of more, one in ``PART`` is. A shingle is
 #: frequent from ``OFTEN`` of them on, and at most ``MOST`` frequent ones are sent to the tasks.
-WHOLE, PART, OFTEN, MOST = 20_000, 16, 3, 200_000
+WHOLE, PART, OFTEN, MOST = 20_000, 16, 2, 200_000
 #: Postings that a task hands over at once, texts of a shard that all others meet first, keys that are broadcast at most.
 FILED, FIRST, SENT = 1 << 18, 4, 1 << 20
 #: Bits in which fingerprints of sets of a similarity of 0.8 may differ: mean 10, standard deviation 3.
@@ -198,8 +198,14 @@ def _frequent(texts: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
             for t in batch.column(0).to_pylist():
                 yield pa.RecordBatch.from_arrays([pa.array(np.unique(hashes(t, words)).view(np.int64))], names=["item"])
 
-    counted = texts.select("text").mapInArrow(run, "item long").groupBy("item").count().where(F.col("count") >= OFTEN)
-    top = counted.orderBy(F.desc("count"), "item").limit(MOST).toPandas()
+    counted = cut(texts.select("text").mapInArrow(run, "item long").groupBy("item").count().where(F.col("count") >= OFTEN))
+    least, total = 1, 0
+    for count, many in sorted(counted.groupBy(F.least("count", F.lit(1 << 16))).count().toPandas().itertuples(index=False), reverse=True):
+        total += many
+        if total > MOST:
+            least = count + 1
+            break
+    top = counted.where(F.col("count") >= least).limit(MOST).toPandas()
     item, order = (x := top["item"].to_numpy(np.int64).view(np.uint64)), np.argsort(x)
     return item[order], top["count"].to_numpy(np.int64)[order]
 
@@ -209,29 +215,29 @@ _TEXT = np.dtype([("ref", "<u4"), ("key", "<i8"), ("n", "<u4"), ("fp", "<u8")])
 
 
 def _filed(texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """(item, piece, pieces, key, n, fp): each distinct text under those prefix shingles that another text has as well.
+    """(item, piece, pieces, key, n, fp, place): each distinct text under those prefix shingles that another text has as well.
     A shingle that over ``SHARD_CAP`` listings share is in several pieces; a piece lies in one partition, sorted.
 
-    What is shuffled at first is a shingle and a text's number in its task, 12 bytes, in arrays by shard of the
-    shingles; sizes and fingerprints are sent once for each text and joined to the shared shingles alone.
+    What is shuffled at first is a shingle, a text's number in its task and the shingle's place in the text's order, 14
+    bytes, in arrays by shard of the shingles; sizes and fingerprints are sent once for each text and joined to the shared shingles alone.
     """
     spark = texts.sparkSession
     sent, shards = spark.sparkContext.broadcast(_frequent(texts, words)), 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    def handed(part, items, refs, listed):
-        item, own = np.concatenate(items), np.concatenate(refs)
+    def handed(part, items, refs, places, listed):
+        item, own, place = np.concatenate(items), np.concatenate(refs), np.concatenate(places)
         shard = (item % np.uint64(shards)).astype(np.int32)
         order = np.argsort(shard, kind="stable")
         bounds = [0, *(np.flatnonzero(np.diff(shard[order])) + 1).tolist(), len(order)]
-        rows = [(int(shard[order[a]]), item[order[a:b]].tobytes(), own[order[a:b]].tobytes(), None) for a, b in zip(bounds, bounds[1:])]
-        shard, item, own, texts_ = zip(*rows, (part % shards, None, None, np.array(listed, _TEXT).tobytes()))
-        arrays = [pa.array(shard, pa.int32()), pa.array([part] * len(shard), pa.int64()), *[pa.array(x, pa.binary()) for x in (item, own, texts_)]]
-        return pa.RecordBatch.from_arrays(arrays, names=["shard", "part", "items", "refs", "texts"])
+        rows = [(int(shard[order[a]]), item[order[a:b]].tobytes(), own[order[a:b]].tobytes(), place[order[a:b]].tobytes(), None) for a, b in zip(bounds, bounds[1:])]
+        shard, *blobs = zip(*rows, (part % shards, None, None, None, np.array(listed, _TEXT).tobytes()))
+        arrays = [pa.array(shard, pa.int32()), pa.array([part] * len(shard), pa.int64()), *[pa.array(x, pa.binary()) for x in blobs]]
+        return pa.RecordBatch.from_arrays(arrays, names=["shard", "part", "items", "refs", "places", "texts"])
 
     @tidy
     def file(batches):
         often, counts = sent.value
-        part, ref, items, refs, listed, waiting, met = TaskContext.get().partitionId(), 0, [], [], [], 0, set()
+        part, ref, items, refs, places, listed, waiting, met = TaskContext.get().partitionId(), 0, [], [], [], [], 0, set()
         for batch in batches:
             for t, key in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if key in met:
@@ -247,49 +253,60 @@ def _filed(texts: DataFrame, words: int, percent: int) -> DataFrame:
                 some = s[: len(s) - need(len(s), percent) + 1]
                 items.append(some)
                 refs.append(np.full(len(some), ref, "<u4"))
+                places.append(np.minimum(np.arange(len(some)), 65535).astype("<u2"))
                 ref, waiting = ref + 1, waiting + len(some)
                 if waiting >= FILED:
-                    yield handed(part, items, refs, listed)
-                    items, refs, listed, waiting = [], [], [], 0
+                    yield handed(part, items, refs, places, listed)
+                    items, refs, places, listed, waiting = [], [], [], [], 0
         if listed:
-            yield handed(part, items, refs, listed)
+            yield handed(part, items, refs, places, listed)
 
-    names = ["item", "ref", "key", "n", "fp"]
+    names = ["item", "ref", "place", "key", "n", "fp"]
 
-    def shared_of(items, refs):
-        item, ref = np.concatenate(items), np.concatenate(refs)
+    def shared_of(items, refs, places):
+        item, ref, place = np.concatenate(items), np.concatenate(refs), np.concatenate(places)
         order = np.argsort(item, kind="stable")
-        item, ref = item[order], ref[order]
+        item, ref, place = item[order], ref[order], place[order]
         same = item[1:] == item[:-1]
         more = np.concatenate(([False], same)) | np.concatenate((same, [False]))
-        return pa.RecordBatch.from_arrays([pa.array(item[more].view(np.int64)), pa.array(ref[more]), *[pa.nulls(int(more.sum()), pa.int64())] * 3], names=names)
+        return pa.RecordBatch.from_arrays([pa.array(item[more].view(np.int64)), pa.array(ref[more]), pa.array(place[more].astype(np.int32)), *[pa.nulls(int(more.sum()), pa.int64())] * 3], names=names)
 
     @tidy
     def shared(batches):
-        last, items, refs = None, [], []
+        last, items, refs, places = None, [], [], []
         for batch in batches:
-            for shard, part, item, ref, texts_ in zip(*[c.to_pylist() for c in batch.columns]):
+            for shard, part, item, ref, place, texts_ in zip(*[c.to_pylist() for c in batch.columns]):
                 if texts_ is not None:
                     x = np.frombuffer(texts_, _TEXT)
-                    columns = [x["ref"].astype(np.int64) | part << 32, x["key"].astype(np.int64), x["n"].astype(np.int64), x["fp"].astype(np.uint64).view(np.int64)]
-                    yield pa.RecordBatch.from_arrays([pa.nulls(len(x), pa.int64()), *map(pa.array, columns)], names=names)
+                    columns = [x["key"].astype(np.int64), x["n"].astype(np.int64), x["fp"].astype(np.uint64).view(np.int64)]
+                    yield pa.RecordBatch.from_arrays([pa.nulls(len(x), pa.int64()), pa.array(x["ref"].astype(np.int64) | part << 32), pa.nulls(len(x), pa.int32()), *map(pa.array, columns)], names=names)
                     continue
                 if shard != last and items:
-                    yield shared_of(items, refs)
-                    items, refs = [], []
+                    yield shared_of(items, refs, places)
+                    items, refs, places = [], [], []
                 last = shard
                 items.append(np.frombuffer(item, "<u8"))
                 refs.append(np.frombuffer(ref, "<u4").astype(np.int64) | part << 32)
+                places.append(np.frombuffer(place, "<u2"))
         if items:
-            yield shared_of(items, refs)
+            yield shared_of(items, refs, places)
 
-    handed_out = texts.select("text", "key").mapInArrow(file, "shard int, part long, items binary, refs binary, texts binary")
-    found = cut(handed_out.repartition("shard").sortWithinPartitions("shard").mapInArrow(shared, "item long, ref long, key long, n long, fp long"))
-    posted, listed = found.where("item IS NOT NULL").select("item", "ref"), found.where("item IS NULL").select("ref", "key", "n", "fp")
+    handed_out = texts.select("text", "key").mapInArrow(file, "shard int, part long, items binary, refs binary, places binary, texts binary")
+    found = cut(handed_out.repartition("shard").sortWithinPartitions("shard").mapInArrow(shared, "item long, ref long, place int, key long, n long, fp long"))
+    posted, listed = found.where("item IS NOT NULL").select("item", "ref", "place"), found.where("item IS NULL").select("ref", "key", "n", "fp")
     hot = cut(posted.groupBy("item").count().where(F.col("count") > SHARD_CAP).select("item", F.ceil(F.col("count") / SHARD_CAP).cast("int").alias("pieces")))
     rows = posted.join(listed, "ref").drop("ref").join(F.broadcast(hot) if hot.count() <= SENT else hot, "item", "left")
     rows = rows.withColumn("pieces", F.coalesce("pieces", F.lit(1))).withColumn("piece", F.pmod(F.xxhash64("key"), F.col("pieces")).cast("int"))
-    return cut(rows.repartition("item", "piece").dropDuplicates(["item", "piece", "key"]).sortWithinPartitions("item", "piece").select("item", "piece", "pieces", "key", "n", "fp"))
+    return cut(rows.repartition("item", "piece").dropDuplicates(["item", "piece", "key"]).sortWithinPartitions("item", "piece").select("item", "piece", "pieces", "key", "n", "fp", "place"))
+
+
+def _may_link(n, place, other_n, other_place, percent: int):
+    """Whether texts with sets of these sizes can be similar, and have the shingle in their prefixes for the overlap that it takes.
+
+    An overlap of ``o`` is found under one of the first ``n - o + 1`` shingles of both.
+    """
+    overlap = -(-percent * (n + other_n) // (100 + percent))
+    return (100 * np.minimum(n, other_n) >= percent * np.maximum(n, other_n)) & (place <= n - overlap) & (other_place <= other_n - overlap)
 
 
 def _handed_pairs(found):
@@ -307,14 +324,14 @@ def _first_pairs(filed: DataFrame, percent: int, radius: int) -> DataFrame:
     @tidy
     def run(batches):
         for table in _whole_groups(batches, 2):
-            item, piece, _, key, n, fp = (c.to_numpy() for c in table.columns)
+            item, piece, _, key, n, fp, place = (c.to_numpy() for c in table.columns)
             fp = fp.view(np.uint64)
             start = np.concatenate(([0], np.flatnonzero((item[1:] != item[:-1]) | (piece[1:] != piece[:-1])) + 1))
             size = np.diff(np.append(start, len(item)))
             out = []
             for i in range(FIRST):
                 own = np.repeat(start + i * size // FIRST, size)
-                ok = (key != key[own]) & (np.bitwise_count(fp ^ fp[own]) <= radius) & (100 * np.minimum(n, n[own]) >= percent * np.maximum(n, n[own]))
+                ok = (key != key[own]) & (np.bitwise_count(fp ^ fp[own]) <= radius) & _may_link(n, place, n[own], place[own], percent)
                 out.append((np.minimum(key, key[own])[ok], np.maximum(key, key[own])[ok]))
             yield _handed_pairs(out)
 
@@ -334,14 +351,14 @@ def _rest(filed: DataFrame, percent: int, radius: int) -> DataFrame:
     many = filed.where("pieces > 1")
     open_ = many.groupBy("item").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("item")
     many = many.join(open_, "item").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
-    many = many.select("item", F.least("piece", "other").alias("tree"), F.greatest("piece", "other").alias("members"), (F.col("piece") <= F.col("other")).alias("in_tree"), "key", "n", "fp", "label")
-    rows = filed.where("pieces = 1").select("item", F.lit(0).alias("tree"), F.lit(0).alias("members"), F.lit(True).alias("in_tree"), "key", "n", "fp", "label").union(many)
+    many = many.select("item", F.least("piece", "other").alias("tree"), F.greatest("piece", "other").alias("members"), (F.col("piece") <= F.col("other")).alias("in_tree"), "key", "n", "fp", "label", "place")
+    rows = filed.where("pieces = 1").select("item", F.lit(0).alias("tree"), F.lit(0).alias("members"), F.lit(True).alias("in_tree"), "key", "n", "fp", "label", "place").union(many)
 
     @tidy
     def run(batches):
         out, waiting = [], 0
         for table in _whole_groups(batches, 3):
-            item, tree, members, in_tree, key, n, fp, label = (c.to_numpy() for c in table.columns)
+            item, tree, members, in_tree, key, n, fp, label, place = (c.to_numpy() for c in table.columns)
             fp = fp.view(np.uint64)
             start = np.concatenate(([0], np.flatnonzero((item[1:] != item[:-1]) | (tree[1:] != tree[:-1]) | (members[1:] != members[:-1])) + 1))
             end = np.append(start[1:], len(item))
@@ -354,7 +371,7 @@ def _rest(filed: DataFrame, percent: int, radius: int) -> DataFrame:
                 else:
                     q, v = BKTree(fp[trees]).search(fp[queries], radius)
                 q, v = queries[q], trees[v]
-                ok = (label[q] != label[v]) & (100 * np.minimum(n[q], n[v]) >= percent * np.maximum(n[q], n[v]))
+                ok = (label[q] != label[v]) & _may_link(n[q], place[q], n[v], place[v], percent)
                 if alone:
                     ok &= key[q] < key[v]
                 q, v = key[q[ok]], key[v[ok]]
