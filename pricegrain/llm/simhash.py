@@ -37,8 +37,9 @@ LEAF = 8
 #: Near copies: texts that are all counted for the order of shingles; of more, one in ``PART`` is. A shingle is
 #: frequent from ``OFTEN`` of them on, and at most ``MOST`` frequent ones are sent to the tasks.
 WHOLE, PART, OFTEN, MOST = 20_000, 16, 2, 200_000
-#: Postings that a task hands over at once, texts of a shard that all others meet first, keys that are broadcast at most.
-FILED, FIRST, SENT = 1 << 18, 4, 1 << 20
+#: Postings that a task hands over at once, texts of a shard that all others meet first, keys that are broadcast at
+#: most, texts of a block whose sets are held at once, texts that come to a block in one task.
+FILED, FIRST, SENT, BLOCK, COME = 1 << 18, 4, 1 << 20, 256, 4096
 #: Bits in which fingerprints of sets of a similarity of 0.8 may differ: mean 10, standard deviation 3.
 WIDE = 28
 
@@ -210,12 +211,13 @@ def _frequent(texts: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
     return item[order], top["count"].to_numpy(np.int64)[order]
 
 
-#: A text in the listing of a map task: its number there, key, size of its set, fingerprint.
-_TEXT = np.dtype([("ref", "<u4"), ("key", "<i8"), ("n", "<u4"), ("fp", "<u8")])
+#: A text in the listing of a map task: its number there, key, size of its set, fingerprint, least shingle.
+_TEXT = np.dtype([("ref", "<u4"), ("key", "<i8"), ("n", "<u4"), ("fp", "<u8"), ("least", "<u8")])
 
 
-def _filed(texts: DataFrame, words: int, percent: int) -> DataFrame:
+def _filed(texts: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """(item, piece, pieces, key, n, fp, place): each distinct text under those prefix shingles that another text has as well.
+    And (key, least) of every text with words, as often as map tasks have it.
     A shingle that over ``SHARD_CAP`` listings share is in several pieces; a piece lies in one partition, sorted.
 
     What is shuffled at first is a shingle, a text's number in its task and the shingle's place in the text's order, 14
@@ -246,7 +248,7 @@ def _filed(texts: DataFrame, words: int, percent: int) -> DataFrame:
                 s = np.unique(hashes(t, words))
                 if not len(s):
                     continue
-                listed.append((ref, key, len(s), majority(s)))
+                listed.append((ref, key, len(s), majority(s), s[0]))
                 if len(often):
                     at = np.minimum(np.searchsorted(often, s), len(often) - 1)
                     s = s[np.argsort(np.where(often[at] == s, counts[at], 0), kind="stable")]
@@ -261,7 +263,7 @@ def _filed(texts: DataFrame, words: int, percent: int) -> DataFrame:
         if listed:
             yield handed(part, items, refs, places, listed)
 
-    names = ["item", "ref", "place", "key", "n", "fp"]
+    names = ["item", "ref", "place", "key", "n", "fp", "least"]
 
     def shared_of(items, refs, places):
         item, ref, place = np.concatenate(items), np.concatenate(refs), np.concatenate(places)
@@ -269,7 +271,7 @@ def _filed(texts: DataFrame, words: int, percent: int) -> DataFrame:
         item, ref, place = item[order], ref[order], place[order]
         same = item[1:] == item[:-1]
         more = np.concatenate(([False], same)) | np.concatenate((same, [False]))
-        return pa.RecordBatch.from_arrays([pa.array(item[more].view(np.int64)), pa.array(ref[more]), pa.array(place[more].astype(np.int32)), *[pa.nulls(int(more.sum()), pa.int64())] * 3], names=names)
+        return pa.RecordBatch.from_arrays([pa.array(item[more].view(np.int64)), pa.array(ref[more]), pa.array(place[more].astype(np.int32)), *[pa.nulls(int(more.sum()), pa.int64())] * 4], names=names)
 
     @tidy
     def shared(batches):
@@ -278,7 +280,7 @@ def _filed(texts: DataFrame, words: int, percent: int) -> DataFrame:
             for shard, part, item, ref, place, texts_ in zip(*[c.to_pylist() for c in batch.columns]):
                 if texts_ is not None:
                     x = np.frombuffer(texts_, _TEXT)
-                    columns = [x["key"].astype(np.int64), x["n"].astype(np.int64), x["fp"].astype(np.uint64).view(np.int64)]
+                    columns = [x["key"].astype(np.int64), x["n"].astype(np.int64), *(x[c].astype(np.uint64).view(np.int64) for c in ("fp", "least"))]
                     yield pa.RecordBatch.from_arrays([pa.nulls(len(x), pa.int64()), pa.array(x["ref"].astype(np.int64) | part << 32), pa.nulls(len(x), pa.int32()), *map(pa.array, columns)], names=names)
                     continue
                 if shard != last and items:
@@ -292,12 +294,12 @@ def _filed(texts: DataFrame, words: int, percent: int) -> DataFrame:
             yield shared_of(items, refs, places)
 
     handed_out = texts.select("text", "key").mapInArrow(file, "shard int, part long, items binary, refs binary, places binary, texts binary")
-    found = cut(handed_out.repartition("shard").sortWithinPartitions("shard").mapInArrow(shared, "item long, ref long, place int, key long, n long, fp long"))
+    found = cut(handed_out.repartition("shard").sortWithinPartitions("shard").mapInArrow(shared, "item long, ref long, place int, key long, n long, fp long, least long"))
     posted, listed = found.where("item IS NOT NULL").select("item", "ref", "place"), found.where("item IS NULL").select("ref", "key", "n", "fp")
     hot = cut(posted.groupBy("item").count().where(F.col("count") > SHARD_CAP).select("item", F.ceil(F.col("count") / SHARD_CAP).cast("int").alias("pieces")))
     rows = posted.join(listed, "ref").drop("ref").join(F.broadcast(hot) if hot.count() <= SENT else hot, "item", "left")
     rows = rows.withColumn("pieces", F.coalesce("pieces", F.lit(1))).withColumn("piece", F.pmod(F.xxhash64("key"), F.col("pieces")).cast("int"))
-    return cut(rows.repartition("item", "piece").dropDuplicates(["item", "piece", "key"]).sortWithinPartitions("item", "piece").select("item", "piece", "pieces", "key", "n", "fp", "place"))
+    return cut(rows.repartition("item", "piece").dropDuplicates(["item", "piece", "key"]).sortWithinPartitions("item", "piece").select("item", "piece", "pieces", "key", "n", "fp", "place")), found.where("item IS NULL").select("key", "least")
 
 
 def _may_link(n, place, other_n, other_place, percent: int):
@@ -408,27 +410,47 @@ def _whole_groups(batches, by: int):
         yield pa.Table.from_batches(left).combine_chunks()
 
 
-def _similar(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs whose whole sets are similar. Texts are looked up by broadcast keys if these are few, else by a join."""
-    wanted = cut(pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct())
+def _similar(pairs: DataFrame, texts: DataFrame, least: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs whose whole sets are similar.
+
+    The first texts of the pairs are gathered in blocks of about ``BLOCK`` by their least shingle, which texts of a
+    group mostly share; every other text comes once to each block in which it has partners, not once for each
+    pair. A block that many come to is sent to several tasks. Texts are looked up by broadcast keys if these are
+    few, else by a join.
+    """
+    first = pairs.select(F.col("a").alias("key")).distinct().join(least, "key").dropDuplicates(["key"])
+    sizes = first.groupBy("least").count().where(F.col("count") > BLOCK).select("least", F.ceil(F.col("count") / BLOCK).cast("int").alias("parts"))
+    block = F.struct("least", F.pmod(F.xxhash64("key"), F.coalesce("parts", F.lit(1))).alias("part")).alias("block")
+    first = cut(first.join(sizes, "least", "left").select("key", block))
+    met = cut(pairs.join(first.withColumnRenamed("key", "a"), "a").groupBy("block", F.col("b").alias("key")).agg(F.collect_list("a").alias("partners")))
+    many = met.groupBy("block").count().where(F.col("count") > COME).select("block", F.ceil(F.col("count") / COME).cast("int").alias("tasks"))
+    come = met.join(many, "block", "left").select("block", F.pmod(F.xxhash64("key"), F.coalesce("tasks", F.lit(1))).cast("int").alias("task"), F.lit(1).alias("kind"), "key", "partners")
+    stay = first.join(many, "block", "left").select("block", F.explode(F.sequence(F.lit(0), F.coalesce("tasks", F.lit(1)) - 1)).alias("task"), F.lit(0).alias("kind"), "key", F.lit(None).cast("array<long>").alias("partners"))
+    rows = come.union(stay)
+    wanted = cut(rows.select("key").distinct())
     known = texts.join(F.broadcast(wanted) if wanted.count() <= SENT else wanted, "key", "left_semi").dropDuplicates(["key"])
-    left, right = (known.select(F.col("key").alias(k), F.col("text").alias(f"t{k}")) for k in "ab")
 
     @tidy
     def run(batches):
-        last, own = None, None
+        last, own = None, {}
         for batch in batches:
-            near = []
-            for i, a in enumerate(batch.column(0).to_pylist()):
-                if a != last:
-                    last, own = a, np.unique(hashes(batch.column(2)[i].as_py(), words))
-                other = np.unique(hashes(batch.column(3)[i].as_py(), words))
-                both = len(np.intersect1d(own, other, assume_unique=True))
-                near.append(100 * both >= percent * (len(own) + len(other) - both))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(near, pa.bool_()))
+            found = []
+            for least_, part, task, kind, key, partners, text in zip(*[c.to_pylist() for c in batch.columns]):
+                if (least_, part, task) != last:
+                    last, own = (least_, part, task), {}
+                s = np.unique(hashes(text, words))
+                if not kind:
+                    own[key] = s
+                    continue
+                for a in partners:
+                    both = len(np.intersect1d(own[a], s, assume_unique=True))
+                    if 100 * both >= percent * (len(own[a]) + len(s) - both):
+                        found.append((a, key))
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
-    met = pairs.join(right, "b").join(left, "a").select("a", "b", "ta", "tb").sortWithinPartitions("a")
-    return met.mapInArrow(run, "a long, b long")
+    by = ["least", "part", "task"]
+    rows = rows.join(known, "key").select("block.least", "block.part", "task", "kind", "key", "partners", "text")
+    return rows.repartition(*by).sortWithinPartitions(*by, "kind").mapInArrow(run, "a long, b long")
 
 
 def near_copies(docs: DataFrame, text_col: str = "text", words: int = 5, percent: int = 80, radius: int = WIDE) -> DataFrame:
@@ -441,11 +463,11 @@ def near_copies(docs: DataFrame, text_col: str = "text", words: int = 5, percent
     table gives an empty one; long texts are compared as a whole. Other columns are not read.
     """
     texts = docs.select(F.col(text_col).cast("string").alias("text")).where("text IS NOT NULL").withColumn("key", F.xxhash64("text"))
-    filed = _filed(texts, words, percent)
+    filed, least = _filed(texts, words, percent)
     first = cut(_first_pairs(filed, percent, radius))
-    links = cut(_similar(first, texts, words, percent))
+    links = cut(_similar(first, texts, least, words, percent))
     label = components(links).withColumnRenamed("label", "_label")
     label = cut(label.withColumnRenamed("id", "key"))
     filed = filed.join(F.broadcast(label) if label.count() <= SENT else label, "key", "left").withColumn("label", F.coalesce("_label", "key")).drop("_label")
     rest = cut(_rest(filed, percent, radius).join(first, ["a", "b"], "left_anti"))
-    return components(links.union(_similar(rest, texts, words, percent))).withColumnRenamed("id", "key")
+    return components(links.union(_similar(rest, texts, least, words, percent))).withColumnRenamed("id", "key")

@@ -88,7 +88,7 @@ def plain_kept(docs):
 
 @pytest.mark.parametrize(("often", "cap", "sent"), [(3, 1024, 1 << 20), (10**9, 8, 0)])
 def test_near_duplicates_are_all_pairs_of_similar_shingles(spark, monkeypatch, often, cap, sent):
-    for name, value in (("OFTEN", often), ("SHARD_CAP", cap), ("SENT", sent), ("FILED", 50 * cap), ("FIRST", 1 if cap == 8 else 4)):
+    for name, value in (("OFTEN", often), ("SHARD_CAP", cap), ("SENT", sent), ("FILED", 50 * cap), ("FIRST", 1 if cap == 8 else 4), ("BLOCK", 2 if cap == 8 else 256), ("COME", 3 if cap == 8 else 4096)):
         monkeypatch.setattr(simhash, name, value)
     r = random.Random(11)
     vocabulary = [f"w{i}" for i in range(900)]
