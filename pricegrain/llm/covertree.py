@@ -189,23 +189,22 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
     """(id, n_links, component_id, kept) of every row, by cosine >= ``threshold`` over all rows.
 
     Vectors that are null, empty, zero or hold null or non-finite parts link with nothing and are their
-    own component; vectors of another length than the table's longest are compared with their own length
-    only. Equal vectors are processed once and counted as often as they occur. ``component_id`` is the
+    own component; vectors are compared with those of their own length, of which there may be any number. Equal vectors are processed once and counted as often as they occur. ``component_id`` is the
     smallest id reachable, and ``kept`` marks the row that has it. Ids must be distinct; a null id comes
     back unlinked with ``kept`` true. An empty table gives an empty one; other columns are ignored.
     """
     every = vectors(df, id_col, vec_col)
     reps = cut(every.where("digest IS NOT NULL AND id IS NOT NULL").groupBy("digest").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("weight"), F.first("raw").alias("raw")))
-    sizes = [r[0] for r in reps.select(F.length("raw")).distinct().limit(65).collect()]
-    if len(sizes) > 64:
-        raise ValueError("more than 64 vector lengths")
-    counts, links = [], []
-    for size in sizes:
-        c, e = _links(reps.where(F.length("raw") == size), threshold)
+    # Lengths with many vectors have a tree of their own, each block a task; all others are a block each.
+    size = F.length("raw")
+    sizes = [r["size"] for r in reps.groupBy(size.alias("size")).count().where(F.col("count") > 2 * BLOCK).collect()]
+    few = reps.where(~size.isin(sizes)) if sizes else reps
+    own = cut(few.select(size.alias("block"), F.lit(0).cast("long").alias("cell"), "rep", "weight", "raw").groupBy("block").applyInPandas(_block(threshold), SHAPE))
+    counts, links = ([x] for x in _inside(own))
+    for s in sizes:
+        c, e = _links(reps.where(size == s), threshold)
         counts.append(c)
         links.append(e)
-    if not sizes:
-        return every.select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
     for extra in counts[1:]:
         counts[0] = counts[0].union(extra)
     for extra in links[1:]:
@@ -220,6 +219,44 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
     return out.select(F.col("id").alias(id_col), F.when(own, F.col("n_links")).otherwise(0).cast("long").alias("n_links"), component.alias("component_id"), component.eqNullSafe(F.col("id")).alias("kept"))
 
 
+SHAPE = "block int, cell int, ids binary, weight binary, raw binary, count binary, group binary, tree array<binary>"
+
+
+def _block(threshold: float):
+    """What makes a block's vectors one row: ids, vectors, tree, counts of inner links and inner groups."""
+
+    def build(frame):
+        frame = frame.sort_values("rep")
+        x = unit(np.frombuffer(b"".join(frame["raw"])).reshape(len(frame), -1))
+        weight, tree = frame["weight"].to_numpy(np.int64), Tree(x)
+        # both orders of every pair, and each vector with itself, come up: take one side's counts
+        count, _, p, q = tally(dual(x, tree, x, tree, threshold), tree, weight, tree, weight)
+        with_itself = (x * x).sum(1) >= threshold
+        group = local_components(len(x), p, q)
+        parts = [[np.asarray(x, np.int32) for x in tree.centre], [np.asarray(x, np.int32) for x in tree.node], tree.radius, [np.asarray(x, np.int32) for x in tree.parent]]
+        return pd.DataFrame({
+            "block": [int(frame["block"].iloc[0])], "cell": [int(frame["cell"].iloc[0])],
+            "ids": [frame["rep"].to_numpy(np.int64).tobytes()], "weight": [weight.tobytes()], "raw": [packed(frame["raw"].tolist())],
+            "count": [(count - np.where(with_itself, weight, 0)).tobytes()], "group": [group.astype(np.int64).tobytes()],
+            "tree": [[part.tobytes() for level in zip(*parts) for part in level]],
+        })
+
+    return build
+
+
+def _inside(blocks: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rep, n) and (a, b) of the links within blocks."""
+
+    def inside(frames):
+        for frame in frames:
+            for ids, count, group in zip(frame["ids"], frame["count"], frame["group"]):
+                ids, count, group = (np.frombuffer(v, np.int64) for v in (ids, count, group))
+                yield pd.DataFrame({"a": ids, "n": count, "b": ids[group]})
+
+    own = blocks.select("ids", "count", "group").mapInPandas(inside, "a long, n long, b long")
+    return own.select(F.col("a").alias("rep"), "n"), own.where("a <> b").select("a", "b")
+
+
 def _links(reps: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
     """(rep, n) link counts and (a, b) links that connect the same groups, of distinct vectors of one length."""
     n = reps.count()
@@ -246,26 +283,7 @@ def _links(reps: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
     partner = {k: [j for j in first if close[k, j] <= cells[k]["far"] + cells[j]["far"] + limit + SLACK or j == k] for k in first}
     mapping = lambda d: F.create_map(*[F.lit(x) for kv in d.items() for x in kv])
     block = (mapping(first)[F.col("cell")] + F.pmod(F.xxhash64("rep"), mapping(pieces)[F.col("cell")].cast("long"))).cast("int")
-
-    def build(frame):
-        """A block as one row: its vectors, tree and inner links."""
-        frame = frame.sort_values("rep")
-        x = unit(np.frombuffer(b"".join(frame["raw"])).reshape(len(frame), -1))
-        weight, tree = frame["weight"].to_numpy(np.int64), Tree(x)
-        # both orders of every pair, and each vector with itself, come up: take one side's counts
-        count, _, p, q = tally(dual(x, tree, x, tree, threshold), tree, weight, tree, weight)
-        with_itself = (x * x).sum(1) >= threshold
-        group = local_components(len(x), p, q)
-        parts = [[np.asarray(x, np.int32) for x in tree.centre], [np.asarray(x, np.int32) for x in tree.node], tree.radius, [np.asarray(x, np.int32) for x in tree.parent]]
-        return pd.DataFrame({
-            "block": [int(frame["block"].iloc[0])], "cell": [int(frame["cell"].iloc[0])],
-            "ids": [frame["rep"].to_numpy(np.int64).tobytes()], "weight": [weight.tobytes()], "raw": [packed(frame["raw"].tolist())],
-            "count": [(count - np.where(with_itself, weight, 0)).tobytes()], "group": [group.astype(np.int64).tobytes()],
-            "tree": [[part.tobytes() for level in zip(*parts) for part in level]],
-        })
-
-    shape = "block int, cell int, ids binary, weight binary, raw binary, count binary, group binary, tree array<binary>"
-    blocks = cut(placed.withColumn("block", block).select("block", "cell", "rep", "weight", "raw").groupBy("block").applyInPandas(build, shape))
+    blocks = cut(placed.withColumn("block", block).select("block", "cell", "rep", "weight", "raw").groupBy("block").applyInPandas(_block(threshold), SHAPE))
     # Each block goes to the pairs of its cell's partners: (smaller, larger) block number.
     partners = mapping({k: ",".join(str(b) for j in js for b in range(first[j], first[j] + pieces[j])) for k, js in partner.items()})
     sent = blocks.withColumn("other", F.explode(F.split(partners[F.col("cell").cast("long")], ",").cast("array<int>"))).where("other <> block")
@@ -295,12 +313,5 @@ def _links(reps: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
 
     pairs = cut(sent.groupBy("low", "high").applyInPandas(across, "a long, b long, link boolean"))
 
-    def inside(frames):
-        for frame in frames:
-            for ids, count, group in zip(frame["ids"], frame["count"], frame["group"]):
-                ids, count, group = (np.frombuffer(v, np.int64) for v in (ids, count, group))
-                yield pd.DataFrame({"a": ids, "n": count, "b": ids[group]})
-
-    own = blocks.select("ids", "count", "group").mapInPandas(inside, "a long, n long, b long")
-    counts = own.select(F.col("a").alias("rep"), "n").union(pairs.where("NOT link").select("a", "b"))
-    return counts, own.where("a <> b").select("a", "b").union(pairs.where("link").select("a", "b"))
+    counts, joined = _inside(blocks)
+    return counts.union(pairs.where("NOT link").select("a", "b")), joined.union(pairs.where("link").select("a", "b"))
