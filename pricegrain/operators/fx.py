@@ -46,13 +46,13 @@ def upsert(previous: DataFrame, incoming: DataFrame) -> DataFrame:
     """``previous`` with the captures of ``incoming`` replaced; rates to ten significant digits."""
     built = incoming.withColumn("fx_usd_per_unit", F.lit(1.0) / F.col("units_per_usd")).select(FX.names)
     kept = previous.join(built.select("capture_id").distinct(), "capture_id", "left_anti").select(FX.names)
-    return significant_rates(kept.unionByName(built)).orderBy("capture_id", "currency")
+    return significant_rates(kept.unionByName(built))
 
 
 def rebuild(rows: DataFrame, order: str) -> DataFrame:
     """One rate per (capture, currency), the last in ``order``."""
     kept = keep_first(rows, ["capture_id", "currency"], [F.desc(order)])
-    return significant_rates(kept.withColumn("fx_usd_per_unit", F.lit(1.0) / F.col("units_per_usd")).select(FX.names)).orderBy("capture_id", "currency")
+    return significant_rates(kept.withColumn("fx_usd_per_unit", F.lit(1.0) / F.col("units_per_usd")).select(FX.names))
 
 
 def significant_rates(rates: DataFrame) -> DataFrame:

@@ -33,16 +33,26 @@ def dedupe_daily(daily: DataFrame, priorities: DataFrame) -> DataFrame:
     ``priorities`` has country, brand, grade_raw and priority; labels it lacks have priority 0. Rows that
     tie in both are ordered by their label.
     """
-    ranked = daily.where(F.col("grade") != "other").join(priorities.select("country", "brand", "grade_raw", F.col("priority").alias("_priority")), ["country", "brand", "grade_raw"], "left")
-    order = [F.desc("captured_at_utc"), F.coalesce("_priority", F.lit(0)).desc(), F.asc("grade_raw")]
-    return keep_first(ranked, ["capture_date", "station_key", "grade"], order).select(daily.columns)
+    known = priorities.select("country", "brand", "grade_raw", F.col("priority").alias("_priority"))  # a row for each label of a chain
+    ranked = daily.where(F.col("grade") != "other").join(F.broadcast(known), ["country", "brand", "grade_raw"], "left")
+    key = ["capture_date", "station_key", "grade"]
+    rest = F.struct(*[c for c in daily.columns if c not in key])
+    # greatest of (time, priority, label in reverse): labels are compared by their bytes, turned over
+    order = F.struct("captured_at_utc", F.coalesce("_priority", F.lit(0)), _turned(F.col("grade_raw")))
+    found = ranked.groupBy(*key).agg(F.max_by(rest, order).alias("_row"))
+    return found.select([F.col(c) if c in key else F.col(f"_row.{c}").alias(c) for c in daily.columns])
+
+
+def _turned(text: Column) -> Column:
+    """A text whose order is the reverse of the given one's: the complement of every byte, then an end above all."""
+    return F.concat(F.translate(F.hex(text), "0123456789ABCDEF", "FEDCBA9876543210"), F.lit("G"))
 
 
 def latest_rows(captures: DataFrame) -> DataFrame:
     """Every row of each station's newest capture; of equal labels the one with the greatest capture id."""
     newest = F.max("captured_at_utc").over(Window.partitionBy("station_key"))
     rows = captures.withColumn("_newest", newest).where("captured_at_utc = _newest").drop("_newest")
-    return keep_first(rows, ["station_key", "grade_raw"], [F.desc("capture_id")]).orderBy("country", "station_key", "grade_raw")
+    return keep_first(rows, ["station_key", "grade_raw"], [F.desc("capture_id")])
 
 
 def update_latest(previous: DataFrame, incoming: DataFrame) -> DataFrame:
@@ -54,7 +64,7 @@ def update_latest(previous: DataFrame, incoming: DataFrame) -> DataFrame:
     own = Window.partitionBy("station_key")
     marked = both.withColumn("_in", F.max(F.when(F.col("_new"), F.col("captured_at_utc"))).over(own)).withColumn("_old", F.max(F.when(~F.col("_new"), F.col("captured_at_utc"))).over(own))
     wins = F.col("_in").isNotNull() & (F.col("_old").isNull() | (F.col("_in") > F.col("_old")))
-    return marked.where(F.col("_new") == F.coalesce(wins, F.lit(False))).select(previous.columns).orderBy("station_key", "grade_raw")
+    return marked.where(F.col("_new") == F.coalesce(wins, F.lit(False))).select(previous.columns)
 
 
 def replace_partition(stored: DataFrame, incoming: DataFrame, column: str) -> DataFrame:

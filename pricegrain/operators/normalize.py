@@ -127,22 +127,26 @@ def below_regular(prices: DataFrame, station: list[str], label: str = "UNLEAD")
     return prices.withColumn("below", F.coalesce(F.col("price") < regular, F.lit(False)))
 
 
-def normalize(stations: DataFrame, rates: DataFrame, dims: Dimensions, capture_id: str, capture_date: str, captured_at: str, source: str) -> Normalized:
-    """The outputs of one capture of one or more feeds; ``stations`` has the columns of RAW_STATION.
+def normalize(stations: DataFrame, rates: DataFrame, dims: Dimensions, capture_id: str | None = None, capture_date: str | None = None, captured_at: str | None = None, source: str | None = None) -> Normalized:
+    """The outputs of one or more captures of one or more feeds; ``stations`` has the columns of RAW_STATION.
 
-    Rows may repeat a station; stations are told apart by their order (``pos`` if given, else their id).
+    The capture is named by the arguments or, where stations of several captures are normalized at once, by columns
+    ``capture_id``, ``capture_date`` and ``captured_at_utc``; so is the ``source`` of the feeds. Rows may repeat a
+    station within a capture; they are told apart by their order. Drops and warnings name their feed and capture.
     """
-    day, at = F.lit(capture_date).cast("date"), F.lit(captured_at).cast("timestamp")
+    given = {"capture_id": F.lit(capture_id), "capture_date": F.lit(capture_date).cast("date"), "captured_at_utc": F.lit(captured_at).cast("timestamp"), "source": F.lit(source)}
+    stations = stations.withColumns({c: v for c, v in given.items() if c not in stations.columns})
+    day, at = F.col("capture_date"), F.col("captured_at_utc")
     base = with_unit(turned_on(stations, dims.watch, day), dims.units)
     base = base.withColumn("station_key", station_key("country", "brand", "source_station_id"))
-    base = base.withColumn("_seq", F.row_number().over(Window.partitionBy("station_key").orderBy(F.struct("id_origin", "name", "address"))))
+    base = base.withColumn("_seq", F.row_number().over(Window.partitionBy("capture_id", "station_key").orderBy(F.struct("id_origin", "name", "address"))))
     stop = F.when(~F.col("is_on"), gate(day))
     priced, zoned = F.coalesce(F.size("prices"), F.lit(0)) > 0, valid_zone("timezone")
     watched = (F.col("id_origin") == "watch") & ~F.col("is_on")
     reason = F.coalesce(stop, F.when(~priced, "no_price"), F.when(~zoned, "no_timezone"), F.when(watched, "watch"))
     base = base.withColumn("gate", stop).withColumn("reason", reason)
     base = base.withColumn("disposition", F.when(F.col("reason").isNull(), "publish").when(priced & zoned, "hold").otherwise("drop"))
-    own = ["station_key", "_seq"]
+    own = ["capture_id", "station_key", "_seq"]
     prices = base.select("*", F.posexplode("prices").alias("pos", "p")).select("*", "p.grade_raw", "p.price_raw").drop("p", "prices")
     prices = prices.withColumn("price", parse_price("price_raw"))
     parsed = with_bounds(resolve_conflicts(with_grade(prices.where("price IS NOT NULL"), dims.grades), own), dims.bounds).withColumn("inside", in_bounds())
@@ -152,33 +156,34 @@ def normalize(stations: DataFrame, rates: DataFrame, dims: Dimensions, capture_i
     parsed = parsed.withColumn("refused", F.coalesce((F.col("has_regular") == 0) & empty_ca & (F.col("disposition") == "publish"), F.lit(False)))
 
     surviving = parsed.where("inside")
-    origin = F.when((F.col("country") == "US") & (F.col("id_origin") == "lookup"), "costco-ca-lookup-us").when((F.col("country") == "CA") & (F.col("id_origin") == "cache"), "costco-ca-gasprices").otherwise(F.lit(source))
-    records = surviving.withColumn("capture_id", F.lit(capture_id)).withColumn("capture_date", day).withColumn("captured_at_utc", at).withColumn("source", origin)
+    origin = F.when((F.col("country") == "US") & (F.col("id_origin") == "lookup"), "costco-ca-lookup-us").when((F.col("country") == "CA") & (F.col("id_origin") == "cache"), "costco-ca-gasprices").otherwise(F.col("source"))
+    records = surviving.withColumn("source", origin)
     zone = F.when(valid_zone("timezone"), F.col("timezone"))
     records = rates_of.apply(records.withColumn("local_date", F.to_date(F.from_utc_timestamp("captured_at_utc", zone))), rates)
     published = records.where("disposition = 'publish' AND NOT refused")
     holdable = records.where("disposition = 'hold'").withColumn("hold_reason", F.col("reason"))
-    broken = F.max(F.col("name").isNull().cast("int")).over(Window.partitionBy("station_key"))
+    broken = F.max(F.col("name").isNull().cast("int")).over(Window.partitionBy("capture_id", "station_key"))
     holdable = holdable.withColumn("_bad", broken)
     held = holdable.where("_seq = 1 AND _bad = 0")
 
-    detail = lambda df, reason, text: df.select("source_station_id", F.lit(reason).alias("reason"), text.alias("detail"))
+    said_of = ("feed", "capture_id")
+    detail = lambda df, reason, text: df.select("source_station_id", F.lit(reason).alias("reason"), text.alias("detail"), *said_of)
     in_play = parsed.where("disposition = 'publish'")
     posted = F.concat("grade_raw", F.lit("="), "price_raw")
-    drops = base.where("reason IS NOT NULL").select("source_station_id", "reason", F.lit("").alias("detail"))
+    drops = base.where("reason IS NOT NULL").select("source_station_id", "reason", F.lit("").alias("detail"), *said_of)
     drops = drops.union(detail(prices.where("price IS NULL AND disposition = 'publish'"), "unparseable_price", posted))
     drops = drops.union(detail(in_play.where("NOT inside"), "out_of_bounds", F.concat(posted, F.lit(" "), "price_unit")))
     drops = drops.union(detail(in_play.where("refused").dropDuplicates(own), "no_regular", F.lit("")))
 
-    warn = lambda df, code, text: df.select(F.lit(code).alias("code"), text.alias("detail"))
-    warnings = warn(in_play.where("unknown").select("grade_raw").distinct(), "unknown_grade", F.col("grade_raw"))
+    warn = lambda df, code, text: df.select(F.lit(code).alias("code"), text.alias("detail"), *said_of)
+    warnings = warn(in_play.where("unknown").select("grade_raw", *said_of).distinct(), "unknown_grade", F.col("grade_raw"))
     warnings = warnings.union(warn(in_play.where("lost"), "grade_conflict", F.concat_ws(":", "station_key", "mapped", "grade_raw")))
     warnings = warnings.union(warn(in_play.where("inside AND has_regular = 0 AND NOT refused").dropDuplicates(own), "no_regular", F.col("source_station_id")))
     early = parsed.where("gate IN ('not_open', 'no_hours') AND inside AND mapped = 'regular'").dropDuplicates(own)
     warnings = warnings.union(warn(early, "priced_before_open", F.col("source_station_id")))
     warnings = warnings.union(warn(holdable.where("_seq > 1 OR _bad = 1").dropDuplicates(own), "held_rows_invalid", F.col("source_station_id")))
 
-    labels = published.groupBy(*own, "country", "brand").agg(F.first(F.struct(*STATION_COLUMNS)).alias("s"), join_labels(F.array_sort(F.collect_set("grade_raw"))).alias("grades_seen"))
+    labels = published.groupBy(*own, "country", "brand", "captured_at_utc").agg(F.first(F.struct(*STATION_COLUMNS)).alias("s"), join_labels(F.array_sort(F.collect_set("grade_raw"))).alias("grades_seen"))
     made = {"first_seen_utc": at, "last_seen_utc": at, "status": F.lit("active"), "superseded_by": F.lit(None).cast("string")}
     listed = labels.select([made[c].alias(c) if c in made else F.col(f"s.{c}").alias(c) if c in STATION_COLUMNS else F.col(c) for c in STATION.names])
-    return Normalized(published.select(ROW.names), listed, drops.select(DROPS.names), warnings, held.select(HELD.names))
+    return Normalized(published.select(ROW.names), listed, drops.select(*DROPS.names, *said_of), warnings, held.select(HELD.names))

@@ -19,7 +19,7 @@ def absent_status(last_seen, at, closed_after_days) -> Column:
 
 def apply_links(stations: DataFrame, links: DataFrame) -> DataFrame:
     """``superseded_by`` from the links alone: stations without a link lose any older value."""
-    to = links.select(F.col("old_station_key").alias("station_key"), F.col("new_station_key").alias("_to"))
+    to = links.select(F.col("old_station_key").alias("station_key"), F.col("new_station_key").alias("_to"))  # a hand-kept list
     return stations.drop("superseded_by").join(to, "station_key", "left").withColumn("superseded_by", F.col("_to")).select(STATION.names)
 
 
@@ -60,7 +60,7 @@ def upsert(previous: DataFrame, incoming: DataFrame, feeds: DataFrame, links: Da
     out["status"] = F.when(o.isNull(), n["status"]).when(met & newer, "active").when(judged, F.lit("judged")).otherwise(o["status"])
     merged = both.select(*[out[c].alias(c) for c in STATION.names if c != "superseded_by"], F.lit(None).cast("string").alias("superseded_by"))
     merged = merged.withColumn("status", F.when(F.col("status") == "judged", absent_status("last_seen_utc", capture_time(F.lit(capture_id)), days)).otherwise(F.col("status")))
-    return apply_links(merged, links).orderBy("station_key")
+    return apply_links(merged, links)
 
 
 def rebuild(captures: DataFrame, existing: DataFrame, links: DataFrame, feeds: DataFrame | None = None, unreached: DataFrame | None = None, thresholds: dict[str, int] | None = None) -> DataFrame:
@@ -70,21 +70,23 @@ def rebuild(captures: DataFrame, existing: DataFrame, links: DataFrame, feeds: D
     newest capture, else ``missing``. Of those not active and not listed at the newest instant, the ones
     whose feed ``feeds`` (feed, status, disabled) lets be judged are relabelled; without ``feeds``, all.
     """
-    seen = station_seen(captures)
+    # one pass over the captures: seen times, labels and the newest row
+    row = F.struct(*[c for c in captures.columns if c != "station_key"])
+    found = captures.groupBy("station_key").agg(F.min("captured_at_utc").alias("first_seen_utc"), F.max("captured_at_utc").alias("last_seen_utc"), join_labels(F.array_sort(F.collect_set("grade_raw"))).alias("grades_seen"), F.max_by(row, F.struct("captured_at_utc", "capture_id")).alias("r"))
+    seen = found.drop("r")
     kept = existing.drop("first_seen_utc", "last_seen_utc", "grades_seen").join(existing.select("station_key", *[F.col(c).alias(f"_{c}") for c in ("first_seen_utc", "last_seen_utc", "grades_seen")]), "station_key").join(seen, "station_key", "left")
     kept = kept.select([F.coalesce(c, f"_{c}").alias(c) if c in ("first_seen_utc", "last_seen_utc", "grades_seen") else F.col(c) for c in STATION.names])
-    newest = captures.groupBy("station_key").agg(F.max_by(F.struct(*[c for c in captures.columns if c != "station_key"]), F.struct("captured_at_utc", "capture_id")).alias("r"))
     country = captures.groupBy("country").agg(F.max("capture_id").alias("_newest"))
-    fresh = newest.join(existing.select("station_key"), "station_key", "left_anti").join(seen, "station_key").withColumn("country", F.col("r.country")).join(F.broadcast(country), "country", "left")
+    fresh = found.join(existing.select("station_key"), "station_key", "left_anti").withColumn("country", F.col("r.country")).join(F.broadcast(country), "country", "left")
     own = {"station_key", "country", "first_seen_utc", "last_seen_utc", "grades_seen"}
     extra = {"alt_id": F.lit(None).cast("string"), "superseded_by": F.lit(None).cast("string"), "status": F.when(F.col("r.capture_id") == F.col("_newest"), "active").otherwise("missing")}
     fresh = fresh.select([extra[c].alias(c) if c in extra else F.col(c) if c in own else F.col(f"r.{c}").alias(c) for c in STATION.names])
-    return apply_links(_restate(kept.unionByName(fresh), captures, feeds, unreached, thresholds), links).orderBy("station_key")
+    return apply_links(_restate(kept.unionByName(fresh), captures, feeds, unreached, thresholds, found), links)
 
 
-def _restate(stations: DataFrame, captures: DataFrame, feeds, unreached, thresholds) -> DataFrame:
+def _restate(stations: DataFrame, captures: DataFrame, feeds, unreached, thresholds, found: DataFrame) -> DataFrame:
     spark = stations.sparkSession
-    last = captures.groupBy("station_key").agg(F.max("captured_at_utc").alias("_last"))
+    last = found.select("station_key", F.col("last_seen_utc").alias("_last"))
     at = captures.agg(F.max("captured_at_utc").alias("_at"))  # one row
     out = stations.join(last, "station_key", "left").join(F.broadcast(at), how="left").withColumn("_feed", feed_id("country", "brand"))
     days = F.create_map(*[F.lit(x) for kv in (thresholds or {}).items() for x in kv])[F.col("country")] if thresholds else F.lit(None).cast("int")

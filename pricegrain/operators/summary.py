@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..schemas import HISTORIES, HISTORY, SUMMARIES, SUMMARY
+from ..schemas import HISTORY, SUMMARIES, SUMMARY
 from .constants import CORE_GRADES, MOVE_EPSILON
 from .validate import duplicate_probe
 
@@ -13,18 +13,14 @@ PRICE_FIELDS = ("grade_raw", "price_raw", "price", "price_unit", "currency", "pr
 STATION_FIELDS = ("station_key", "country", "brand", "name", "name_local", "address", "city", "region", "postcode", "lat", "lon", "timezone")
 
 
-def _level(df: DataFrame, keys: list[str], level: str) -> DataFrame:
-    local, usd = (F.percentile(F.col(c), F.array(F.lit(0.5), F.lit(0.25), F.lit(0.75))) for c in ("price_local_per_litre", "price_usd_per_litre"))
-    out = df.groupBy(*keys).agg(
-        F.count_distinct("station_key").cast("int").alias("n_stations"),
-        F.count("price_usd_per_litre").cast("int").alias("n_stations_usd"),
-        local.alias("_local"),
-        usd.alias("_usd"),
-    )
-    if "region" not in keys:
-        out = out.withColumn("region", F.lit(None).cast("string"))
-    names = [(f"{stat}_{kind}_per_litre", F.col(f"_{kind}")[i]) for kind in ("local", "usd") for i, stat in enumerate(("median", "p25", "p75"))]
-    return out.withColumn("level", F.lit(level)).withColumns(dict(names)).select(SUMMARY.names)
+def quartiles(df: DataFrame, keys: list[str], station: str, values: dict[str, str]) -> DataFrame:
+    """Distinct stations (n_stations), non-null values (n_NAME) and exact quartiles (NAME: median, p25, p75) of each group.
+
+    Quantiles interpolate linearly. One shuffle on the group and the station: distinct stations and sorted values come
+    from the same rows.
+    """
+    q = lambda c: F.percentile(F.col(c), F.array(F.lit(0.5), F.lit(0.25), F.lit(0.75)))
+    return df.groupBy(*keys).agg(F.size(F.collect_set(station)).cast("int").alias("n_stations"), *[F.count(c).cast("int").alias(f"n_{k}") for k, c in values.items()], *[q(c).alias(k) for k, c in values.items()])
 
 
 def summary_daily(deduped: DataFrame, check: bool = False) -> DataFrame:
@@ -33,12 +29,15 @@ def summary_daily(deduped: DataFrame, check: bool = False) -> DataFrame:
     Quantiles interpolate linearly; dollar figures leave out the rows without a rate; rows without a
     region enter the country level alone. Chains are never pooled.
     """
-    keys = ["capture_date", "country", "brand", "grade"]
-    regional = deduped.where(F.col("region").isNotNull())
-    out = _level(deduped, keys, "country").unionByName(_level(regional, [*keys, "region"], "region"))
+    values = {"local": "price_local_per_litre", "usd": "price_usd_per_litre"}
+    levels = F.array_compact(F.array(F.struct(F.lit("country").alias("level"), F.lit(None).cast("string").alias("region")), F.when(F.col("region").isNotNull(), F.struct(F.lit("region").alias("level"), F.col("region").alias("region")))))
+    rows = deduped.select("capture_date", "country", "brand", "grade", "station_key", *values.values(), F.explode(levels).alias("l")).select("*", "l.*").drop("l")
+    found = quartiles(rows, ["capture_date", "country", "brand", "level", "region", "grade"], "station_key", values)
+    names = {f"{stat}_{kind}_per_litre": F.col(kind)[i] for kind in values for i, stat in enumerate(("median", "p25", "p75"))}
+    out = found.withColumnRenamed("n_usd", "n_stations_usd").withColumns(names).select(SUMMARY.names)
     if check and (found := duplicate_probe(out, SUMMARIES.key).limit(5).collect()):
         raise ValueError(f"summary isn't unique: {found}")
-    return out.orderBy(*[F.col(c).asc_nulls_last() for c in SUMMARIES.order])
+    return out
 
 
 def change_flags(deduped: DataFrame, epsilon: float = MOVE_EPSILON) -> DataFrame:
@@ -52,7 +51,7 @@ def change_flags(deduped: DataFrame, epsilon: float = MOVE_EPSILON) -> DataFrame
 
 
 def history(deduped: DataFrame) -> DataFrame:
-    return change_flags(deduped).select(HISTORY.names).orderBy(*HISTORIES.order)
+    return change_flags(deduped).select(HISTORY.names)
 
 
 def latest_nested(latest: DataFrame, stations: DataFrame) -> DataFrame:

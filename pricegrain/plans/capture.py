@@ -17,7 +17,9 @@ from ..schemas import FX, empty
 from ..sources import feeds as parsers
 from .history import Capture
 
+#: What the rows of a feed give as their source, by brand; store lists are the rest.
 SOURCES = {"SAMS": "sams-fuel-center"}
+STORE_LIST = "costco-occ"
 
 
 @dataclass
@@ -55,13 +57,13 @@ def run(spark: SparkSession, responses: DataFrame, config: Config, capture_id: s
         warnings = said if warnings is None else warnings.unionByName(said)
     if raw is None:
         raise ValueError("no feed ran")
-    raw = normalize.with_zone(raw, config.zones(spark))
-    out = normalize.normalize(raw, rates, config.dimensions(spark), capture_id, day, captured_at, "costco-occ")
+    source = F.coalesce(F.create_map(*[F.lit(x) for kv in SOURCES.items() for x in kv])[F.col("brand")], F.lit(STORE_LIST))
+    raw = normalize.with_zone(raw, config.zones(spark)).withColumn("source", source)
+    out = normalize.normalize(raw, rates, config.dimensions(spark), capture_id, day, captured_at)
+    warnings = warnings.unionByName(out.warnings.select("feed", "code", "detail"))  # they count before a feed is judged
     feeds = spark.createDataFrame([(f, f in ran) for f in parsers.PARSERS], "feed string, ran boolean")
     before = previous_status if previous_status is not None else spark.createDataFrame([], "feed string, price_fingerprint string, unchanged_since_capture_id string, consecutive_failures int, last_success_capture_id string, recent_errors array<string>")
-    ids = raw.select("source_station_id", F.concat("country", F.lit("-"), "brand").alias("feed")).distinct()
-    drops = out.drops.join(ids, "source_station_id").select("feed", "reason")
-    judged = status.evaluate(feeds, out.rows, drops, warnings, before, capture_id, captured_at)
+    judged = status.evaluate(feeds, out.rows, out.drops.select("feed", "reason"), warnings, before, capture_id, captured_at)
     said = {}
     for w in warnings.collect():
         said.setdefault(w["feed"], []).append({"code": w["code"], "detail": w["detail"]})

@@ -192,13 +192,14 @@ def latest_incremental(spark, sf_dir):
     return out.select("station_key", "grade_raw", "price", text("captured_at_utc", "ts"))
 
 
-@query(f"""WITH {DAY}, located AS (SELECT * FROM deduped WHERE capture_date = (SELECT max(capture_date) FROM deduped))
+@query(f"""WITH {DAY}, located AS (SELECT * FROM (SELECT *, max(capture_date) OVER (PARTITION BY station_key) AS newest FROM deduped) WHERE capture_date = newest AND split_part(station_key, '-', 3)::bigint % 9 <> 0)
   SELECT station_key, any_value(country) AS country, string_agg(grade || '=' || grade_raw || ':' || n_captures, ',' ORDER BY grade) AS grades, count(*)::int AS n_grades FROM located GROUP BY station_key""")
 def latest_nested(spark, sf_dir):
     d = deduped(spark, sf_dir)
-    newest = d.join(F.broadcast(d.agg(F.max("capture_date").alias("capture_date"))), "capture_date")
-    rows = newest.withColumn("lat", F.lit(1.0)).withColumn("lon", F.lit(2.0))
-    seen = rows.select("station_key", F.lit("active").alias("status"), F.col("captured_at_utc").alias("first_seen_utc")).dropDuplicates(["station_key"])
+    newest = d.withColumn("newest", F.max("capture_date").over(Window.partitionBy("station_key"))).where("capture_date = newest").drop("newest")
+    place = F.when(F.substring_index("station_key", "-", -1).cast("long") % 9 != 0, F.lit(1.0))  # every ninth has no coordinates
+    rows = newest.withColumn("lat", place).withColumn("lon", place)
+    seen = rows.groupBy("station_key").agg(F.lit("active").alias("status"), F.min("captured_at_utc").alias("first_seen_utc"))
     out = summary.latest_nested(rows, seen)
     entries = F.array_sort(F.transform(F.map_entries("grades"), lambda e: F.concat(e["key"], F.lit("="), e["value"]["grade_raw"], F.lit(":"), e["value"]["n_captures"].cast("string"))))
     return out.select("station_key", "country", F.array_join(entries, ",").alias("grades"), F.size("grades").alias("n_grades"))
@@ -484,71 +485,81 @@ def station_rebuild(spark, sf_dir):
     out = stations.rebuild(whole, existing, empty(spark, STATION).select(F.col("station_key").alias("old_station_key"), F.col("station_key").alias("new_station_key")), thresholds={k: 2 for k in COUNTRY})
     return out.select("station_key", text("first_seen_utc"), text("last_seen_utc"), "grades_seen", "status")
 
-#: One day of events as raw stations: who is polled, watched or closed follows from the user id.
-_DAY = "2024-01-10"
-_RAW = f"""st AS (SELECT range AS user_id, CASE WHEN range % 7 = 0 THEN 'watch' WHEN range % 7 = 1 THEN 'extra' ELSE 'seen' END AS id_origin, CASE WHEN range % 5 = 0 THEN 'no_gas' WHEN range % 3 = 2 THEN 'absent' ELSE 'gas' END AS ecom_state,
-    range % 11 = 0 AS future, range % 13 = 0 AS closed, range % 17 <> 0 AS zoned FROM range(0, 150)),
-pr AS (SELECT user_id, event_id, event_type AS grade_raw, value AS price, CASE event_type {_grade} END AS grade, CASE event_type WHEN 'purchase' THEN 2 WHEN 'error' THEN 0 ELSE 1 END AS priority, value BETWEEN 1.0 AND 100.0 AS inside FROM events WHERE ts::date = DATE '{_DAY}'),
-judged AS (SELECT *, CASE WHEN id_origin <> 'extra' AND ecom_state = 'no_gas' THEN 'no_gas_service' WHEN id_origin <> 'extra' AND future THEN 'not_open' WHEN id_origin <> 'extra' AND closed THEN 'no_hours'
-    WHEN user_id NOT IN (SELECT user_id FROM pr) THEN 'no_price' WHEN NOT zoned THEN 'no_timezone' WHEN id_origin = 'watch' THEN 'watch' END AS reason FROM st),
-placed AS (SELECT *, row_number() OVER (PARTITION BY user_id, grade ORDER BY priority DESC, event_id) AS n FROM pr),
-mapped AS (SELECT *, CASE WHEN grade <> 'other' AND n > 1 THEN 'other' ELSE grade END AS final FROM placed),
-shown AS (SELECT *, max(CASE WHEN inside THEN (final = 'regular')::int END) OVER (PARTITION BY user_id) AS regular FROM mapped JOIN judged USING (user_id)),
+
+#: The events as raw stations: every user is polled on every day from the first to the last with events, each day is a
+#: capture. Who is new, watched or closed, has its own unit or zone, follows from the user id.
+_RAW = f"""st AS (SELECT *, CASE WHEN user_id % 7 = 0 THEN 'watch' WHEN user_id % 7 = 1 THEN 'extra' ELSE 'seen' END AS id_origin, CASE WHEN user_id % 5 = 0 THEN 'no_gas' WHEN user_id % 3 = 2 THEN 'absent' ELSE 'gas' END AS ecom_state,
+    user_id % 11 = 0 AND day < DATE '2024-01-10' AS future, user_id % 13 = 0 AS closed, user_id % 17 <> 0 AS zoned, user_id % 14 = 0 AND day >= DATE '2024-01-16' AS is_on, user_id % 5 <> 0 AND user_id % 3 = 2 AS own_unit, user_id % 17 = 1 AND user_id % 5 <> 0 AND user_id % 3 = 1 AS own_zone
+  FROM (SELECT user_id, unnest(generate_series(min(ts)::date, max(ts)::date, INTERVAL 1 DAY))::date AS day FROM events GROUP BY 1)),
+pr AS (SELECT user_id, ts::date AS day, event_id, event_type AS grade_raw, value AS price, CASE event_type {_grade} END AS grade, CASE event_type WHEN 'purchase' THEN 2 WHEN 'error' THEN 0 ELSE 1 END AS priority FROM events),
+judged AS (SELECT *, CASE WHEN is_on OR id_origin = 'extra' THEN NULL WHEN ecom_state = 'no_gas' THEN 'no_gas_service' WHEN future THEN 'not_open' WHEN closed THEN 'no_hours' END AS gate,
+    CASE WHEN gate IS NOT NULL THEN gate WHEN (user_id, day) NOT IN (SELECT (user_id, day) FROM pr) THEN 'no_price' WHEN NOT zoned THEN 'no_timezone' WHEN id_origin = 'watch' AND NOT is_on THEN 'watch' END AS reason FROM st),
+placed AS (SELECT *, row_number() OVER (PARTITION BY user_id, day, grade ORDER BY priority DESC, event_id) AS n FROM pr),
+mapped AS (SELECT *, CASE WHEN grade <> 'other' AND n > 1 THEN 'other' ELSE grade END AS final, own_unit OR price BETWEEN 1.0 AND 100.0 AS inside FROM placed JOIN judged USING (user_id, day)),
+shown AS (SELECT *, max(CASE WHEN inside THEN (final = 'regular')::int END) OVER (PARTITION BY user_id, day) AS regular FROM mapped),
 settled AS (SELECT *, reason IS NULL AND regular = 0 AND id_origin = 'seen' AND ecom_state = 'absent' AS refused FROM shown)"""
 
 
 def normalized(spark: SparkSession, sf_dir: str) -> normalize.Normalized:
-    e = read(spark, sf_dir, "events").where(F.to_date("ts") == F.lit(_DAY).cast("date"))
+    e = read(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
     listed = F.transform(F.array_sort(F.collect_list(F.struct("event_id", F.col("event_type").alias("grade_raw"), F.concat(F.lit("$"), F.col("value").cast("string")).alias("price_raw")))), lambda x: F.struct(x["grade_raw"].alias("grade_raw"), x["price_raw"].alias("price_raw")))
-    prices = e.groupBy("user_id").agg(listed.alias("prices"))
-    u = F.col("user_id")
-    raw = spark.range(0, 150).withColumnRenamed("id", "user_id").join(prices, "user_id", "left")
+    prices = e.groupBy("user_id", "day").agg(listed.alias("prices"))
+    polled = e.groupBy("user_id").agg(F.min("day").alias("first"), F.max("day").alias("last"))
+    u, day = F.col("user_id"), F.col("day")
+    raw = polled.select("user_id", F.explode(F.sequence("first", "last")).alias("day")).join(prices, ["user_id", "day"], "left")
     made = {
-        "country": F.lit("US"), "brand": F.lit("COSTCO"), "source_station_id": u.cast("string"), "name": F.lit("n"), "prices": F.col("prices"),
+        "country": F.lit("US"), "brand": F.lit("COSTCO"), "source_station_id": u.cast("string"), "name": F.lit("n"), "prices": F.col("prices"), "region": F.when(u % 5 != 0, F.concat(F.lit("R"), (u % 3).cast("string"))),
         "id_origin": F.when(u % 7 == 0, "watch").when(u % 7 == 1, "extra").otherwise("seen"), "ecom_state": F.when(u % 5 == 0, "no_gas").when(u % 3 == 2, "absent").otherwise("gas"),
-        "opening_date": F.when(u % 11 == 0, F.lit("2025-01-01").cast("date")), "has_hours": F.when(u % 13 == 0, False), "timezone": F.when(u % 17 == 0, "Nowhere/Land").otherwise("America/Denver"),
+        "opening_date": F.when(u % 11 == 0, F.lit("2024-01-10").cast("date")), "has_hours": F.when(u % 13 == 0, False), "timezone": F.when(u % 17 == 0, "Nowhere/Land").when(u % 17 != 1, "America/Denver"),
     }
     kinds = StructType.fromDDL(normalize.RAW_STATION)
-    stations_ = raw.select([made.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in kinds])
+    capture = {"capture_id": F.date_format(day, "yyyy-MM-dd'T'0530'Z'"), "capture_date": day, "captured_at_utc": (day.cast("timestamp") + F.make_interval(hours=F.lit(5), mins=F.lit(30))), "source": F.lit("inline")}
+    stations_ = raw.select([made.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in kinds] + [v.alias(k) for k, v in capture.items()])
+    stations_ = normalize.with_zone(stations_, inline(spark, [("US", "R1", "Asia/Tokyo"), ("US", "*", "America/Denver")], "country string, region string, zone string"))
+    on = polled.where("user_id % 14 = 0").select(F.lit("US-COSTCO").alias("feed"), F.col("user_id").cast("string").alias("source_station_id"), F.lit("2024-01-01").alias("detected"), F.lit("on").alias("status"), F.lit("2024-01-16").alias("publish_from"), F.lit("").alias("note"))
     dims = normalize.Dimensions(
         priorities(spark).unionByName(inline(spark, [("US", "COSTCO", "error", "other", 0)], "country string, brand string, grade_raw string, grade string, priority bigint")),
-        inline(spark, [("US", None, "USD/gal")], "country string, region string, unit string"),
+        inline(spark, [("US", None, "USD/gal"), ("US", "R2", "CAD/L")], "country string, region string, unit string"),
         inline(spark, [("USD/gal", None, 1.0, 100.0)], "unit string, grade_raw string, low double, high double"),
-        empty(spark, WATCH),
+        on,
     )
-    return normalize.normalize(stations_, rates(spark), dims, f"{_DAY}T1200Z", _DAY, f"{_DAY} 12:00:00", "inline")
+    return normalize.normalize(stations_, rates(spark), dims)
 
 
-@query(f"""WITH {_RAW} SELECT 'US-COSTCO-' || user_id AS station_key, grade_raw, final AS grade, price, round(price / {LITRES_PER_US_GALLON!r}::double, 9) AS price_local_per_litre, price AS price_usd_per_gallon, DATE '{_DAY}' AS local_date
+@query(f"""WITH {_RAW} SELECT day AS capture_date, 'US-COSTCO-' || user_id AS station_key, grade_raw, final AS grade, price, round(CASE WHEN own_unit THEN price ELSE price / {LITRES_PER_US_GALLON!r}::double END, 9) AS price_local_per_litre,
+    round(CASE WHEN own_unit THEN price * (1.0::double / 1.36::double) * {LITRES_PER_US_GALLON!r}::double ELSE price END, 6) AS price_usd_per_gallon, CASE WHEN own_zone THEN day ELSE day - 1 END AS local_date
   FROM settled WHERE reason IS NULL AND inside AND NOT refused""")
 def normalize_rows(spark, sf_dir):
-    return normalized(spark, sf_dir).rows.select("station_key", "grade_raw", "grade", "price", F.round("price_local_per_litre", 9).alias("price_local_per_litre"), "price_usd_per_gallon", "local_date")
+    return normalized(spark, sf_dir).rows.select("capture_date", "station_key", "grade_raw", "grade", "price", F.round("price_local_per_litre", 9).alias("price_local_per_litre"), F.round("price_usd_per_gallon", 6).alias("price_usd_per_gallon"), "local_date")
 
 
-@query(f"""WITH {_RAW} SELECT source_station_id, reason, count(*)::bigint AS n FROM (
-    SELECT user_id::varchar AS source_station_id, reason FROM judged WHERE reason IS NOT NULL
-    UNION ALL SELECT user_id::varchar, 'out_of_bounds' FROM settled WHERE reason IS NULL AND NOT inside
-    UNION ALL SELECT DISTINCT user_id::varchar, 'no_regular' FROM settled WHERE refused) GROUP BY 1, 2""")
+@query(f"""WITH {_RAW} SELECT strftime(day, '%Y-%m-%dT0530Z') AS capture_id, source_station_id, reason, count(*)::bigint AS n FROM (
+    SELECT day, user_id::varchar AS source_station_id, reason FROM judged WHERE reason IS NOT NULL
+    UNION ALL SELECT day, user_id::varchar, 'out_of_bounds' FROM settled WHERE reason IS NULL AND NOT inside
+    UNION ALL SELECT DISTINCT day, user_id::varchar, 'no_regular' FROM settled WHERE refused) GROUP BY ALL""")
 def normalize_drops(spark, sf_dir):
-    return normalized(spark, sf_dir).drops.groupBy("source_station_id", "reason").agg(F.count(F.lit(1)).alias("n"))
+    return normalized(spark, sf_dir).drops.groupBy("capture_id", "source_station_id", "reason").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(f"WITH {_RAW} SELECT user_id::varchar AS source_station_id, grade_raw, final AS grade, price, reason AS hold_reason FROM settled WHERE reason IN ('no_gas_service', 'not_open', 'no_hours', 'watch') AND zoned AND inside")
+@query(f"WITH {_RAW} SELECT day AS capture_date, user_id::varchar AS source_station_id, grade_raw, final AS grade, price, reason AS hold_reason FROM settled WHERE reason IN ('no_gas_service', 'not_open', 'no_hours', 'watch') AND zoned AND inside")
 def normalize_held(spark, sf_dir):
-    return normalized(spark, sf_dir).held.select("source_station_id", "grade_raw", "grade", "price", "hold_reason")
+    return normalized(spark, sf_dir).held.select("capture_date", "source_station_id", "grade_raw", "grade", "price", "hold_reason")
 
 
-@query(f"""WITH {_RAW} SELECT code, detail FROM (SELECT DISTINCT 'no_regular' AS code, user_id::varchar AS detail FROM settled WHERE reason IS NULL AND inside AND regular = 0 AND NOT refused
-    UNION ALL SELECT 'grade_conflict', 'US-COSTCO-' || user_id || ':' || grade || ':' || grade_raw FROM settled WHERE reason IS NULL AND final <> grade
-    UNION ALL SELECT DISTINCT 'priced_before_open', user_id::varchar FROM settled WHERE reason IN ('not_open', 'no_hours') AND inside AND grade = 'regular')""")
+@query(f"""WITH {_RAW} SELECT strftime(day, '%Y-%m-%dT0530Z') AS capture_id, 'US-COSTCO' AS feed, code, detail FROM (SELECT DISTINCT day, 'no_regular' AS code, user_id::varchar AS detail FROM settled WHERE reason IS NULL AND inside AND regular = 0 AND NOT refused
+    UNION ALL SELECT day, 'grade_conflict', 'US-COSTCO-' || user_id || ':' || grade || ':' || grade_raw FROM settled WHERE reason IS NULL AND final <> grade
+    UNION ALL SELECT DISTINCT day, 'priced_before_open', user_id::varchar FROM settled WHERE gate IN ('not_open', 'no_hours') AND inside AND grade = 'regular')""")
 def normalize_warnings(spark, sf_dir):
-    return normalized(spark, sf_dir).warnings.select("code", "detail")
-
+    return normalized(spark, sf_dir).warnings.select("capture_id", "feed", "code", "detail")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    from . import body_queries  # noqa: F401  registers the queries on response bodies
+
     return {name: f for name, (f, _) in QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
+    from . import body_queries  # noqa: F401
+
     return {name: sql for name, (_, sql) in QUERIES.items()}
