@@ -185,7 +185,7 @@ class Memory:
     def missing(self, keys: set[str]) -> set[str]:
         """Those of ``keys`` that aren't known; the known ones are in the young generation afterwards."""
         away = keys.difference(self.young)
-        again = away.intersection(self.old)
+        again = set(filter(self.old.__contains__, away))  # set.intersection would walk the whole dictionary
         self.young.update(zip(again, map(self.old.__getitem__, again)))
         return away - again
 
