@@ -1,8 +1,9 @@
 """Licence scans by a positional index of rare words, in DataFrame functions only.
 
 Each template has a mandatory key phrase. The corpus's own document frequencies name the rarest words of
-every phrase; the index maps such a word to (template, place in the phrase). A file that has a phrase's
-rarest words gets, for each of them, the starts that its places imply; starts that all agree on are
+every phrase; the index maps such a word to (template, place in the phrase). One pass over a file's words lists the
+places of all index words; most files have none. From these postings alone each phrase gets the starts that its rarest
+words imply, so that a file's cost doesn't grow with the number of templates; starts that all agree on are
 candidates, and the whole phrase is verified there. The score weighs how much of the template stands
 around the phrase, by inverse document frequency.
 """
@@ -49,6 +50,12 @@ TEMPLATES = (
     Template("bsd", "redistribution and use in source and binary forms with or without modification", "redistribution and use in source and binary forms"),
     Template("mit", "permission is hereby granted free of charge to any person obtaining a copy", "permission is hereby granted free of charge"),
     Template("cc-by-sa", "licensed under cc by sa 4 0", "cc by sa"),
+    Template("agpl-3", "licensed under the gnu affero general public license version 3", "gnu affero general public license version 3"),
+    Template("lgpl", "redistribute it and or modify it under the terms of the gnu lesser general public license", "gnu lesser general public license"),
+    Template("epl-2", "made available under the terms of the eclipse public license v 2 0", "eclipse public license v 2"),
+    Template("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", "with or without fee is hereby granted"),
+    Template("zlib", "altered source versions must be plainly marked as such and must not be misrepresented as being the original software", "altered source versions must be plainly marked"),
+    Template("cc0-1", "dedicated to the public domain under cc0 1 0 universal", "cc0 1 0 universal"),
     Template("unlicense", "this is free and unencumbered software released into the public domain", "free and unencumbered software"),
 )
 VOCABULARY = sorted({w for t in TEMPLATES for w in t.words})
@@ -72,22 +79,27 @@ def inverse_frequencies(docs: DataFrame, text_col: str = "text") -> dict[str, fl
     return {w: math.log((1 + n) / (1 + count.get(w, 0))) for w in VOCABULARY}
 
 
+def _listing(index: list[str]) -> Column:
+    """Postings (word, place) of the index words of a file, in order; null if it has none."""
+    posted = F.transform("_words", lambda w, p: F.when(w.isin(*index), F.struct(w.alias("word"), p.alias("place"))))
+    return F.when(F.arrays_overlap("_words", strings(index)), F.filter(posted, lambda x: x.isNotNull()))
+
+
 def _postings(word: str, place: int) -> Column:
     """Phrase starts that a word's places imply if it stands at ``place`` of the phrase."""
-    implied = F.transform(F.col("_words"), lambda x, p: F.when(x == word, p - place))
-    return F.filter(implied, lambda s: s >= 0)
+    own = F.filter("_posted", lambda x: (x["word"] == word) & (x["place"] >= place))
+    return F.transform(own, lambda x: x["place"] - place)
 
 
 def _places(t: Template, index: list[str]) -> Column:
     """Starts of the phrase of ``t``: those on which the postings of its rarest words agree, verified in full."""
-    present, starts = F.lit(True), None
+    starts = None
     for word in index:
-        present &= F.array_contains("_hit", word)
         own = [_postings(word, place) for place, other in enumerate(t.key) if other == word]
         implied = own[0] if len(own) == 1 else F.array_distinct(F.flatten(F.array(*own)))
         starts = implied if starts is None else F.array_intersect(starts, implied)
     verified = F.filter(starts, lambda s: F.slice(F.col("_words"), s + 1, len(t.key)) == strings(t.key))
-    return F.when(present, verified).otherwise(F.array().cast("array<int>"))
+    return F.when(F.col("_posted").isNotNull() & (F.size(starts) > 0), verified).otherwise(F.array().cast("array<int>"))
 
 
 def _grade(t: Template, idf: dict[str, float]):
@@ -111,11 +123,11 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     repeat come back as often as they came; an empty table gives an empty one; other columns are ignored.
     """
     idf = inverse_frequencies(docs, text_col)
-    frame = docs.select(F.col(id_col).alias(id_col), words(text_col).alias("_words")).withColumn("_hit", F.array_intersect("_words", strings(VOCABULARY)))
+    index = [sorted({*t.key}, key=lambda x: (-idf[x], x))[:rare] for t in templates]
+    frame = docs.select(F.col(id_col).alias(id_col), words(text_col).alias("_words")).withColumn("_posted", _listing(sorted({w for own in index for w in own})))
     places, quality = [], []
     for i, t in enumerate(templates):
-        index = sorted({*t.key}, key=lambda x: (-idf[x], x))[:rare]
-        frame = frame.withColumn(f"_at{i}", _places(t, index))
+        frame = frame.withColumn(f"_at{i}", _places(t, index[i]))
         places.append(F.col(f"_at{i}"))
         quality.append(F.coalesce(F.array_max(F.transform(F.col(f"_at{i}"), _grade(t, idf))), F.lit(0.0)))
     joined = lambda some: F.array_join(F.array_sort(F.array_distinct(F.filter(F.array(*[F.when(F.size(p) > 0, t.label) for t, p in some]), lambda x: x.isNotNull()))), ",")
