@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ranked
+from .common import cut, ranked
 
 WEIGHTS = (5, 2, 1)
 #: Budget that the dynamic programme fits, in words; a wider rest is narrowed first, as far as lengths allow.
@@ -155,7 +155,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         (F.col(size_col) if size_col else words(text_col)).alias("size"),
         *[F.col(f"`{c}`").alias(f"_keep{i}") for i, c in enumerate(keep)],
     ).withColumn("draw", F.xxhash64(F.lit(seed), "id"))
-    rows = ranked(sized, ["source", "size"], ["draw", "id"])
+    rows = ranked(cut(sized), ["source", "size"], ["draw", "id"])  # words are counted once: dealing rows out reads them twice
     counted = rows.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n"))
     sums = [(r["source"], r["words"]) for r in rows.groupBy("source").agg(F.sum("size").alias("words")).collect()]
     goal, size = targets(sums, weights, most), dict(sums)
