@@ -6,7 +6,7 @@ chance, and takes the nearest codeword. A text whose nearest codeword isn't clea
 rest is flagged as ambiguous.
 
 The classifiers are fitted on a bounded sample: about ``rows_per_language`` labelled rows of each
-language, drawn by a hash of the id. Predictions read whole texts.
+language, and about ``most_rows`` in all, drawn by a hash of the id and the text. Predictions read whole texts.
 """
 
 from __future__ import annotations
@@ -103,15 +103,19 @@ def fit(x: np.ndarray, y: np.ndarray, languages: list[str], steps: int = 120, ri
     return Model(languages, code, mean, w, bias, bit / bit.mean())
 
 
-def train(docs: DataFrame, rows_per_language: int = 500, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model | None:
-    """The model learned from non-null texts and languages outside fold 2; None if there are none."""
+def train(docs: DataFrame, rows_per_language: int = 500, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", most_rows: int = 20_000) -> Model | None:
+    """The model learned from non-null texts and languages outside fold 2; None if there are none.
+
+    A language has as many rows as any other where it has enough: ``rows_per_language``, or an even share of
+    ``most_rows`` where there are more languages than that allows.
+    """
     usable = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t"), F.col(lang_col).cast("string").alias("lang")).where((crc_fold("id") != 2) & F.col("lang").isNotNull() & F.col("t").isNotNull())
     counts = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().collect()}
     if not counts:
         return None
-    cap = max(50, min(rows_per_language, 8000 // len(counts)))
+    cap = min(rows_per_language, max(1, most_rows // len(counts)))
     keep = F.create_map(*[F.lit(v) for lang, n in counts.items() for v in (lang, min(1.0, cap / n))])
-    draw = F.pmod(F.xxhash64("id", F.lit(7)), F.lit(1 << 30)) / float(1 << 30)
+    draw = F.pmod(F.xxhash64("id", "t", F.lit(7)), F.lit(1 << 30)) / float(1 << 30)
 
     @tidy
     def run(batches):
