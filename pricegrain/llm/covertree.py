@@ -24,6 +24,8 @@ from .common import components, cut, local_components, mapped
 
 #: Vectors sampled for the top level, most cells, and mean vectors of a block.
 SAMPLE, CELLS, BLOCK = 4096, 512, 2048
+#: Blocks that are sent together.
+BUNDLE = 4
 #: Rounding allowance of angles, in radians; decisions within it are left to the cosines.
 SLACK = 1e-6
 
@@ -189,9 +191,10 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
     """(id, n_links, component_id, kept) of every row, by cosine >= ``threshold`` over all rows.
 
     Vectors that are null, empty, zero or hold null or non-finite parts link with nothing and are their
-    own component; vectors are compared with those of their own length, of which there may be any number. Equal vectors are processed once and counted as often as they occur. ``component_id`` is the
-    smallest id reachable, and ``kept`` marks the row that has it. Ids must be distinct; a null id comes
-    back unlinked with ``kept`` true. An empty table gives an empty one; other columns are ignored.
+    own component; vectors are compared with those of their own length, of which there may be any number. Equal vectors
+    are processed once and counted as often as they occur: a row that repeats links with its own copies.
+    ``component_id`` is the smallest id reachable, and ``kept`` marks the row that has it. A null id comes back
+    unlinked with ``kept`` true. An empty table gives an empty one; other columns are ignored.
     """
     every = vectors(df, id_col, vec_col)
     reps = cut(every.where("digest IS NOT NULL AND id IS NOT NULL").groupBy("digest").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("weight"), F.first("raw").alias("raw")))
@@ -260,7 +263,9 @@ def _inside(blocks: DataFrame) -> tuple[DataFrame, DataFrame]:
 def _links(reps: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
     """(rep, n) link counts and (a, b) links that connect the same groups, of distinct vectors of one length."""
     n = reps.count()
-    top = unit(np.stack([np.frombuffer(r["raw"]) for r in reps.orderBy(F.xxhash64("rep")).limit(SAMPLE).select("raw").collect()]))
+    draw, share = F.xxhash64("rep"), min(1.0, 2.0 * SAMPLE / n)  # a share of the draws that holds twice the sample
+    some = reps.where(draw < int(-(2.0**63) + share * 2.0**64)) if share < 1 else reps
+    top = unit(np.stack([np.frombuffer(r["raw"]) for r in some.orderBy(draw).limit(SAMPLE).select("raw").collect()]))
     centres = top[net(top, max(1, min(CELLS, math.ceil(n / (2 * BLOCK)))))]
 
     def place(raws):
@@ -284,10 +289,12 @@ def _links(reps: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
     mapping = lambda d: F.create_map(*[F.lit(x) for kv in d.items() for x in kv])
     block = (mapping(first)[F.col("cell")] + F.pmod(F.xxhash64("rep"), mapping(pieces)[F.col("cell")].cast("long"))).cast("int")
     blocks = cut(placed.withColumn("block", block).select("block", "cell", "rep", "weight", "raw").groupBy("block").applyInPandas(_block(threshold), SHAPE))
-    # Each block goes to the pairs of its cell's partners: (smaller, larger) block number.
-    partners = mapping({k: ",".join(str(b) for j in js for b in range(first[j], first[j] + pieces[j])) for k, js in partner.items()})
-    sent = blocks.withColumn("other", F.explode(F.split(partners[F.col("cell").cast("long")], ",").cast("array<int>"))).where("other <> block")
-    sent = sent.select("block", "ids", "weight", "raw", "group", "tree", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    # Blocks meet in bundles of ``BUNDLE``: a block is sent once to each bundle that holds a partner's block, not to each block.
+    spark = reps.sparkSession
+    pairs_of_cells = spark.createDataFrame([(k, first[j] // BUNDLE, (first[j] + pieces[j] - 1) // BUNDLE) for k, js in partner.items() for j in js], "cell int, low int, high int")  # CELLS squared at most
+    own = (F.col("block") / BUNDLE).cast("int")
+    sent = blocks.join(F.broadcast(pairs_of_cells), "cell").select("block", "ids", "weight", "raw", "group", "tree", F.explode(F.sequence("low", "high")).alias("other"))
+    sent = sent.withColumn("low", F.least(own, "other")).withColumn("high", F.greatest(own, "other")).drop("other").dropDuplicates(["block", "low", "high"])
 
     def unpacked(row):
         ids = np.frombuffer(row["ids"], np.int64)
@@ -296,10 +303,8 @@ def _links(reps: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
             (tree.centre, tree.node, tree.radius, tree.parent)[i % 4].append(np.frombuffer(part, np.float64 if i % 4 == 2 else np.int32))
         return ids, np.frombuffer(row["weight"], np.int64), unit(opened(row["raw"], len(ids))), np.frombuffer(row["group"], np.int64), tree
 
-    def across(frame):
-        if len(frame) < 2:
-            return pd.DataFrame({"a": [], "b": [], "link": []}).astype({"a": "int64", "b": "int64", "link": bool})
-        (ids_a, weight_a, x, group_a, a), (ids_b, weight_b, y, group_b, b) = (unpacked(r) for _, r in frame.sort_values("block").iterrows())
+    def meet(left, right):
+        (ids_a, weight_a, x, group_a, a), (ids_b, weight_b, y, group_b, b) = left, right
         count_a, count_b, p, q = tally(dual(x, a, y, b, threshold), a, weight_a, b, weight_b)
         pairs = np.unique(np.stack([group_a[p], group_b[q]], 1), axis=0) if len(p) else np.zeros((0, 2), np.int64)
         label = local_components(len(ids_a) + len(ids_b), pairs[:, 0], pairs[:, 1] + len(ids_a))
@@ -311,6 +316,13 @@ def _links(reps: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
             "link": np.arange(len(moved) + len(some_a) + len(some_b)) < len(moved),
         })
 
+    def across(frame):
+        """The blocks of two bundles, or of one with itself: every two blocks once."""
+        alone = frame["low"].iloc[0] == frame["high"].iloc[0]
+        rows = [(int(r["block"]), unpacked(r)) for _, r in frame.sort_values("block").iterrows()]
+        found = [meet(x, y) for i, (p, x) in enumerate(rows) for q, y in rows[i + 1 :] if alone or p // BUNDLE != q // BUNDLE]
+        return pd.concat(found) if found else pd.DataFrame({"a": [], "b": [], "link": []}).astype({"a": "int64", "b": "int64", "link": bool})
+
     pairs = cut(sent.groupBy("low", "high").applyInPandas(across, "a long, b long, link boolean"))
 
     counts, joined = _inside(blocks)
