@@ -72,8 +72,8 @@ def anchors(raw: np.ndarray, least: int, reach: int) -> tuple[np.ndarray, np.nda
 def entries(raw: bytes, least: int, reach: int, hot: set[int]):
     """(position, lowest, highest offset, hash of the core, hash of the context) of a text's anchors.
 
-    A context is the bytes of all windows of the anchor. Hot cores are narrowed to fewer offsets; a core of a
-    single window is its own context.
+    A context is the bytes of all windows of the anchor. Hot cores are narrowed to fewer offsets, at last to a
+    single window, whose core and context are the same bytes under two independent hashes.
     """
     for p, low, high in zip(*(x.tolist() for x in anchors(np.frombuffer(raw, np.uint8), least, reach))):
         waiting = [(reach, 0)]
@@ -86,8 +86,8 @@ def entries(raw: bytes, least: int, reach: int, hot: set[int]):
                 waiting += [(step, j) for j in range(k, k + width, step) if j <= high and j + step > low]
                 continue
             a, b = max(low, k), min(high, k + width - 1)
-            c = h if width == 1 else xxhash.xxh64_intdigest(raw[p - b : p + least - a], a << 16 | b)
-            yield p, a, b, h, c - ((c >> 63) << 64) if width > 1 else c
+            c = xxhash.xxh64_intdigest(raw[p - b : p + least - a], 1 << 40 | a << 16 | b)
+            yield p, a, b, h, c - ((c >> 63) << 64)
 
 
 def shared_bytes(x: np.ndarray) -> np.ndarray:
@@ -237,7 +237,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         mine = listed(source).join(cores, "h").groupBy("key", F.col("h").bitwiseXOR(F.lit(1)).alias("g"), "c")
         have = cut(mine.agg(F.max("local").alias("local")).select("key", F.col("g").bitwiseXOR(F.lit(1)).alias("h"), "c", "local"))
         classes = cut(have.groupBy("h", "c").agg(F.min("key").alias("rep"), F.max("key").alias("other"), F.max("local").alias("local")))
-        wide = classes.where("h <> c").groupBy("h").agg(F.count(F.lit(1)).alias("n"))
+        wide = classes.groupBy("h").agg(F.count(F.lit(1)).alias("n"))
         hot = wide.where(F.col("n") > cap).select("h")
         if not hot.limit(1).count():
             break
@@ -247,7 +247,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         marked = cut(marked.groupBy("key").agg(F.collect_set("h").alias("hot")))
         source = long_rows.join(marked, "key", "left")
         cores = cut(cores.join(hot, "h", "left_anti").union(shared(listed(source.where("hot IS NOT NULL")))).distinct())
-    known = (F.col("rep") != F.col("other")) | (F.col("local") > 1) | (F.col("h") == F.col("c"))
+    known = (F.col("rep") != F.col("other")) | (F.col("local") > 1)
     classes = classes.join(wide, "h", "left").withColumn("known", known)
     # One text lends the bytes of each context whose core has several.
     lent = cut(classes.where("n > 1").groupBy(F.col("rep").alias("key")).agg(F.collect_list(F.struct("h", "c", "known")).alias("x"), F.count(F.lit(1)).alias("n_x")))
