@@ -1,6 +1,6 @@
 """Secret scans: three fixed patterns, and a randomness test battery with false-discovery control.
 
-The battery takes long tokens with a digit, infers their encoding from their symbols and asks two
+The battery takes tokens of 20 and more symbols, infers their encoding from their symbols and asks two
 things of each. Is it consistent with uniform random symbols: chi-squared uniformity over the
 alphabet, a runs test about the alphabet's middle and the lag-one serial correlation, combined by
 Fisher's rule, must not reject. Is it unlike running text: the likelihood ratio of the uniform
@@ -30,7 +30,6 @@ _HINTS = ("passw", "secret", "token", "api")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{16,}")
 _TOKEN = re.compile(r"[A-Za-z0-9+/_-]{20,}")
-_DIGIT = re.compile(r"[0-9]")
 #: Inferred encodings, narrowest first: name, pattern of the whole token, alphabet in order of value.
 _D, _L, _U = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ENCODINGS = [
@@ -55,7 +54,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def tokens(text: str) -> list[tuple[int, int]]:
-    return [m.span() for m in _TOKEN.finditer(text) if _DIGIT.search(m[0])]
+    return [m.span() for m in _TOKEN.finditer(text)]
 
 
 def normal_tail(z: float) -> float:
