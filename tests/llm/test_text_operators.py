@@ -1,6 +1,7 @@
 """Text operators against brute force, on a table of awkward rows."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -211,6 +212,68 @@ def test_battery_tells_random_tokens_from_patterns():
     assert secrets.chi2_tail(3.84, 1) == pytest.approx(0.05, abs=0.002) and secrets.chi2_tail(12.59, 6) == pytest.approx(0.05, abs=0.001)
 
 
+def plain_tail(x, k):
+    """Upper tail of chi-squared by summing its density in small steps."""
+    t = np.linspace(x, x + 400, 400_001)
+    with np.errstate(divide="ignore"):
+        f = np.exp((k / 2 - 1) * np.log(t) - t / 2 - k / 2 * math.log(2) - math.lgamma(k / 2))
+    return float(np.trapezoid(f, t))
+
+
+def plain_battery(token):
+    """The three tests written out, symbol by symbol."""
+    alphabets = ["0123456789abcdef", "0123456789ABCDEF", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "0123456789abcdefghijklmnopqrstuvwxyz", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"]
+    wide = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    letters = next((a for a in [*alphabets, wide, wide + "+/", wide + "-_"] if set(token) <= set(a)), None)
+    if letters is None:
+        return None, 0.0
+    v, n, size = [letters.index(c) for c in token], len(token), len(letters)
+    cells = max(2, min(size, n // 4))
+    chi = 0.0
+    for c in range(cells):
+        want = n * sum(i * cells // size == c for i in range(size)) / size
+        chi += (sum(x * cells // size == c for x in v) - want) ** 2 / want
+    high = [2 * x >= size for x in v]
+    a, b = sum(high), n - sum(high)
+    if a and b:
+        mean = 1 + 2 * a * b / n
+        runs = 1 + sum(x != y for x, y in zip(high, high[1:]))
+        p2 = math.erfc(max(0, abs(runs - mean) - 0.5) / math.sqrt(max(1e-9, (mean - 1) * (mean - 2) / (n - 1))) / math.sqrt(2))
+    else:
+        p2 = 2.0 ** (1 - n)
+    m = sum(v) / n
+    power = sum((x - m) ** 2 for x in v)
+    p3 = math.erfc(abs((sum((x - m) * (y - m) for x, y in zip(v, v[1:])) / power + 1 / n) * math.sqrt(n)) / math.sqrt(2)) if power else 0.0
+    ps = [min(1.0, max(1e-300, p)) for p in (plain_tail(chi, cells - 1) if chi > 0 else 1.0, p2, p3)]
+    return letters, plain_tail(-2 * sum(map(math.log, ps)), 6)
+
+
+def test_random_spans_equal_a_plain_battery(spark):
+    """The random kind, letters alone included: plain tests, likelihood ratios and the rule over all tokens, without histograms."""
+    r = random.Random(12)
+    b64, texts = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", []
+    for i in range(300):
+        key = "".join(r.choices(b64[: 52 if i % 5 == 0 else 64], k=r.choice((24, 44, 70)))) if i % 3 == 0 else "".join(r.choices(EN, k=6)) if i % 3 == 1 else "a1" * 15
+        texts.append(f"{prose(EN, 150)} {key} {prose(EN, 10)}")
+    shares = Counter(c for t in texts for c in t if c in b64 + "-_")
+    total = sum(shares.values()) + 66
+    rows_, least = [], {}
+    for i, t in enumerate(texts):
+        for m in re.finditer(r"[A-Za-z0-9+/_-]{20,}", t):
+            letters, p = plain_battery(m[0])
+            if letters and p >= 0.01:
+                rows_.append((i, *m.span(), sum(x <= len(m[0]) for x in (20, 28, 40, 64)), sum(math.log(total / (shares[c] + 1) / len(letters)) for c in m[0])))
+    for band in {x[3] for x in rows_}:
+        own = sorted((x[4] for x in rows_ if x[3] == band), reverse=True)
+        good = [e for k, e in enumerate(own, 1) if e >= math.log(len(own) / (0.01 * k))]
+        least[band] = min(good, default=math.inf)
+    want = {(i, f"random:{a}:{b}") for i, a, b, band, e in rows_ if e >= least[band]}
+    out = secrets.find(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string"))
+    found = {(x["doc_id"], s) for x in out.collect() for s in x["spans"].split(",") if s.startswith("random")}
+    assert len(want) > 80 and any(i % 15 == 0 for i, _ in want)
+    assert len(found ^ want) <= 0.02 * len(want)  # e-values are binned by a quarter nat
+
+
 # ---- 5: packing ----
 
 
@@ -282,6 +345,32 @@ def test_quality(spark, none):
     assert {x["score"] for x in blank} == {0.5} and quality.score(none, labels).count() == 0
 
 
+def test_statistics_equal_plain_ones(rows):
+    for text in [r[1] for r in rows] + ["Word " * 40_000, "A!! b?? c\n\nA!! b?? c\n x.", "é ü 12"]:
+        words = (text or "").split()
+        found = dict(zip(quality.STATISTICS, quality.statistics(text)))
+        if not words:
+            assert not any(found.values())
+            continue
+        ink = [b for b in text.encode() if chr(b) not in " \t\n\r\x0b\x0c"]
+        upper, wide = sum(65 <= b <= 90 for b in ink), sum(b >= 128 for b in ink)
+        letters = upper + wide + sum(97 <= b <= 122 for b in ink)
+        lines = [x for x in text.splitlines() if x.strip()]
+        plain = {
+            "words": len(words), "mean_word": sum(map(len, words)) / len(words), "longest_word": max(map(len, words)), "upper": upper / max(1, letters), "digits": sum(48 <= b <= 57 for b in ink) / len(ink), "wide": wide / len(ink),
+            "lone_symbols": sum(len(w) == 1 and not w.isalnum() for w in words) / len(words), "capital_words": sum(w[0].isupper() for w in words) / len(words), "repeated_words": 1 - len(set(words)) / len(words),
+            "top_word": max(map(words.count, set(words))) / len(words), "repeated_lines": 1 - len(set(lines)) / len(lines), "mean_line": len(words) / len(lines), "ended_lines": sum(x.rstrip()[-1] in ".?!" for x in lines) / len(lines),
+        }
+        assert {k: found[k] for k in plain} == pytest.approx(plain)
+
+
+def test_quality_of_long_and_repeated_rows(spark):
+    docs_ = [(i % 50, ("fine words here. " if i % 2 else "BAD!! ") * (1 if i < 90 else 30_000), "en", "s", 0, "", "") for i in range(100)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(50)], "doc_id long, quality int, toxic int")
+    out = quality.score(spark.createDataFrame(docs_, KINDS), labels).collect()
+    assert len(out) == 100 and all(x["predicted"] == x["doc_id"] % 2 for x in out)
+
+
 def test_rules_compile_to_the_same_scores(spark):
     r = np.random.default_rng(8)
     x = r.normal(size=(300, len(quality.STATISTICS)))
@@ -307,6 +396,36 @@ def test_langid(docs, rows, none):
     assert langid.identify(none).count() == 0
 
 
+def plain_ngrams(text):
+    """Shares of hashed byte bigrams and trigrams, one at a time."""
+    low = (" " + text.lower() + " ").encode()
+    folded = bytes(b if b >= 128 or 97 <= b <= 122 else 32 for b in low)
+    squeezed = re.sub(rb" +", b" ", folded)
+    counts = Counter()
+    for i in range(len(squeezed) - 1):
+        two = squeezed[i] * 257 + squeezed[i + 1]
+        counts[two * 2654435761 % 2**32 >> 20] += 1
+        if i + 2 < len(squeezed):
+            counts[(two * 263 + squeezed[i + 2]) * 2246822519 % 2**32 >> 20] += 1
+    total = sum(counts.values())
+    return [math.sqrt(counts[b] / total) for b in range(langid.BUCKETS)]
+
+
+def test_ngrams_and_decoding_equal_plain_ones():
+    texts = [prose(EN, 20), prose(DE, 20), "Straße 12, x!", "a"]
+    for t in texts:
+        assert langid.ngrams(t) == pytest.approx(plain_ngrams(t), abs=1e-3)
+    x = np.stack([langid.ngrams(t) for t in [prose(w, 30) for w in (EN, DE) for _ in range(20)]])
+    model = langid.fit(x, np.repeat([0, 1], 20), ["de", "en"])
+    for t in texts:
+        v, losses = langid.ngrams(t), []
+        for word in model.code:
+            margins = [sum((v - model.mean) * model.weights[:, j]) + model.bias[j] for j in range(model.code.shape[1])]
+            losses.append(sum(math.log1p(math.exp(-c * m)) * w for c, m, w in zip(word, margins, model.bit_weight)))
+        p = [math.exp(-y) / sum(math.exp(-z) for z in losses) for y in losses]
+        assert model.decode(v) == pytest.approx(p, abs=1e-4)
+
+
 def test_codewords():
     for k in (2, 3, 5, 12):
         code = langid.codewords(k)

@@ -106,3 +106,32 @@ def test_projections(spark, monkeypatch):
 
 def test_quantile():
     assert projections.quantile(16, 0.95) == pytest.approx(26.296, abs=0.01)
+
+
+def test_any_number_of_vector_lengths(spark):
+    rows = [(100 * n + i, [1.0] * n + [float(i)]) for n in range(1, 80) for i in range(3)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    out = {r["vec_id"]: r for r in covertree.near_duplicates(df).collect()}
+    assert len(out) == len(rows)
+    for n in (1, 40, 79):
+        own = [np.array(v) for _, v in rows if len(v) == n + 1]
+        cos = [[float(a @ b / np.sqrt((a @ a) * (b @ b))) for b in own] for a in own]
+        assert [out[100 * n + i]["n_links"] for i in range(3)] == [sum(cos[i][j] >= 0.9 for j in range(3) if j != i) for i in range(3)]
+    found = projections.search(df, every=50).collect()
+    assert {r["query_id"]: 0 for r in found} == {i: 0 for i, _ in rows if i % 50 == 0} and all(r["query_id"] // 100 == r["vec_id"] // 100 for r in found)
+
+
+def test_neighbours_stop_before_all_are_verified():
+    """Clustered vectors: a query meets its own cluster and stops; recall and the verified share are those of the README's rule."""
+    r = np.random.default_rng(3)
+    centre = r.standard_normal((40, 64))
+    x = centre[r.integers(0, 40, 4000)] + 0.15 * r.standard_normal((4000, 64))
+    ids, some = np.arange(4000), np.arange(0, 4000, 100)
+    found = list(projections.nearest(ids, x, ids[some], x[some], 5, 16, 0.95, 42))
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    hits = 0
+    for q in some:
+        cos = u @ u[q]
+        cos[q] = -2
+        hits += len({*np.argsort(-cos)[:5].tolist()} & {f[1] for f in found if f[0] == q})
+    assert hits / (5 * len(some)) >= 0.9 and np.mean([f[3] for f in found]) < 0.2 * 4000
