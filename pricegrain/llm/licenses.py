@@ -2,7 +2,7 @@
 
 Each template has a mandatory key phrase. The corpus's own document frequencies name the rarest words of
 every phrase; the index maps such a word to (template, place in the phrase). One pass over a file's words lists the
-places of all index words; most files have none. From these postings alone each phrase gets the starts that its rarest
+places of all index words, if it has those of a whole phrase at all; most haven't. From these postings alone each phrase gets the starts that its rarest
 words imply, so that a file's cost doesn't grow with the number of templates; starts that all agree on are
 candidates, and the whole phrase is verified there. The score weighs how much of the template stands
 around the phrase, by inverse document frequency.
@@ -79,10 +79,14 @@ def inverse_frequencies(docs: DataFrame, text_col: str = "text") -> dict[str, fl
     return {w: math.log((1 + n) / (1 + count.get(w, 0))) for w in VOCABULARY}
 
 
-def _listing(index: list[str]) -> Column:
-    """Postings (word, place) of the index words of a file, in order; null if it has none."""
-    posted = F.transform("_words", lambda w, p: F.when(w.isin(*index), F.struct(w.alias("word"), p.alias("place"))))
-    return F.when(F.arrays_overlap("_words", strings(index)), F.filter(posted, lambda x: x.isNotNull()))
+def _listing(index: list[list[str]]) -> Column:
+    """Postings (word, place) of the index words of a file, in order; null if it has no phrase's words all."""
+    every = sorted({w for own in index for w in own})
+    posted = F.transform("_words", lambda w, p: F.when(w.isin(*every), F.struct(w.alias("word"), p.alias("place"))))
+    complete = F.lit(False)
+    for own in index:
+        complete |= F.size(F.array_intersect("_hit", strings(own))) == len(own)
+    return F.when(complete, F.filter(posted, lambda x: x.isNotNull()))
 
 
 def _postings(word: str, place: int) -> Column:
@@ -124,7 +128,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     """
     idf = inverse_frequencies(docs, text_col)
     index = [sorted({*t.key}, key=lambda x: (-idf[x], x))[:rare] for t in templates]
-    frame = docs.select(F.col(id_col).alias(id_col), words(text_col).alias("_words")).withColumn("_posted", _listing(sorted({w for own in index for w in own})))
+    frame = docs.select(F.col(id_col).alias(id_col), words(text_col).alias("_words"))
+    frame = frame.withColumn("_hit", F.array_intersect("_words", strings(sorted({w for own in index for w in own})))).withColumn("_posted", _listing(index))
     places, quality = [], []
     for i, t in enumerate(templates):
         frame = frame.withColumn(f"_at{i}", _places(t, index[i]))
