@@ -15,20 +15,21 @@ from pathlib import Path
 from .operators import grain
 from .plans import alerts, discover, site
 from .plans.history import Capture, History
-from .schemas import GRADES, LINKS, ROW, STATION, WATCH
+from .schemas import FX, GRADES, LINKS, ROW, STATION, WATCH
 from .session import session
 from .sources.readers import read_csv, read_optional_csv
 from .sources.writers import append_watch
 
 
 def load_capture(spark, folder: str) -> Capture:
-    """A capture folder as a Capture; its id is in status.json."""
+    """A capture folder as a Capture: rows.csv(.gz), stations.csv, fx.csv if there are rates; its id is in status.json."""
     path = Path(folder)
     status = json.loads((path / "status.json").read_text(encoding="utf-8"))
     if not re.fullmatch(r"\d{4}-\d{2}-\d{2}T\d{4}Z", status["capture_id"]):
         raise ValueError(f"capture id {status['capture_id']!r}")
     rows = next(p for p in (path / "rows.csv.gz", path / "rows.csv") if p.exists())
-    return Capture(status["capture_id"], read_csv(spark, str(rows), ROW), read_csv(spark, str(path / "stations.csv"), STATION), None, status.get("feeds", {}))
+    rates = read_csv(spark, str(path / "fx.csv"), FX) if (path / "fx.csv").exists() else None
+    return Capture(status["capture_id"], read_csv(spark, str(rows), ROW), read_csv(spark, str(path / "stations.csv"), STATION), rates, status.get("feeds", {}))
 
 
 def parser() -> argparse.ArgumentParser:

@@ -105,8 +105,8 @@ def body_locator(spark, sf_dir):
   prev AS (SELECT c_custkey::varchar AS id, 'old ' || c_custkey AS name, 'old' AS city FROM customer WHERE c_custkey % 2 = 0),
   extra AS (SELECT c_custkey::varchar AS id, 'extra ' || c_custkey AS name FROM customer WHERE c_custkey % 11 = 0)
   SELECT p.id AS source_station_id, CASE WHEN k % 11 = 0 THEN 'extra' ELSE 'seen' END AS id_origin,
-    coalesce(CASE WHEN l.country = 'US' AND l.has_gas THEN l.name END, extra.name, CASE WHEN l.country = 'US' AND NOT l.has_gas THEN l.name END, prev.name) AS name,
-    coalesce(CASE WHEN l.country = 'US' THEN l.city END, prev.city) AS city, l.opening_date AS opening_date, CASE WHEN k % 6 <> 0 AND (k // 10) % 7 <> 3 THEN 2 END::int AS n_prices
+    coalesce(CASE WHEN l.country = 'US' AND l.has_gas THEN l.name END, extra.name, CASE WHEN l.country = 'US' AND NOT l.has_gas THEN l.name END, prev.name, p.id) AS name,
+    coalesce(CASE WHEN l.country = 'US' THEN l.city END, prev.city) AS city, CASE WHEN l.country = 'US' AND k % 11 <> 0 THEN l.opening_date END AS opening_date, CASE WHEN k % 6 <> 0 AND (k // 10) % 7 <> 3 THEN 2 END::int AS n_prices
   FROM polled p LEFT JOIN places l USING (id) LEFT JOIN prev USING (id) LEFT JOIN extra USING (id)""")
 def body_us_stations(spark, sf_dir):
     c = read(spark, sf_dir, "customer").withColumn("source_station_id", F.col("c_custkey").cast("string"))

@@ -54,29 +54,39 @@ class History:
 
     # ---- tables ----
 
+    def _fs(self, path: str):
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
+
     def _has(self, name: str) -> bool:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
+        fs, p = self._fs(f"{self.root}/{name}")
+        return fs.exists(p)
+
+    def versions(self, name: str) -> list[int]:
+        """Complete versions of a current table, oldest first: Spark marks a folder that it wrote as a whole."""
+        fs, p = self._fs(f"{self.root}/{name}")
+        found = [x.getPath().getName() for x in fs.listStatus(p)] if fs.exists(p) else []
+        return sorted(int(v[1:]) for v in found if v.startswith("v") and v[1:].isdigit() and self._has(f"{name}/{v}/_SUCCESS"))
 
     def table(self, name: str, schema) -> DataFrame:
-        return self.spark.read.schema(schema).parquet(f"{self.root}/{name}") if self._has(name) else empty(self.spark, schema)
+        """A current table at its newest complete version, or the partitioned captures."""
+        if name == "captures":
+            return self.spark.read.schema(schema).parquet(f"{self.root}/{name}") if self._has(name) else empty(self.spark, schema)
+        known = self.versions(name)
+        return self.spark.read.schema(schema).parquet(f"{self.root}/{name}/v{known[-1]}") if known else empty(self.spark, schema)
 
     def captures(self, where=None) -> DataFrame:
         out = self.table("captures", ROW)
         return out.where(where) if where is not None else out
 
     def _swap(self, df: DataFrame, name: str, order: list[str]) -> None:
-        """Replace a small current table: write beside it, then rename; readers never see half of it."""
-        fs_path = lambda p: self.spark._jvm.org.apache.hadoop.fs.Path(p)
-        new, live, old = (f"{self.root}/{name}{x}" for x in (".next", "", ".old"))
-        df.orderBy(*order).write.mode("overwrite").option("compression", "zstd").parquet(new)
-        fs = fs_path(new).getFileSystem(self.spark._jsc.hadoopConfiguration())
-        fs.delete(fs_path(old), True)
-        if fs.exists(fs_path(live)):
-            fs.rename(fs_path(live), fs_path(old))
-        fs.rename(fs_path(new), fs_path(live))
-        fs.delete(fs_path(old), True)
-        self.spark.catalog.refreshByPath(live)
+        """Write a current table as its next version. Readers take the newest complete one, so that a crash at any
+        point leaves the version before; versions before that go."""
+        known = self.versions(name)
+        number = known[-1] + 1 if known else 1
+        df.orderBy(*order).write.mode("overwrite").option("compression", "zstd").parquet(f"{self.root}/{name}/v{number}")
+        for v in known[:-1]:
+            self._drop(f"{self.root}/{name}/v{v}")
 
     # ---- manifests ----
 
@@ -137,8 +147,8 @@ class History:
         return own
 
     def _drop(self, path: str) -> None:
-        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+        fs, p = self._fs(path)
+        fs.delete(p, True)
 
     def _update_current(self, capture: Capture, incoming: DataFrame) -> None:
         latest = grain.update_latest(self.table("latest", ROW), incoming)
@@ -158,7 +168,17 @@ class History:
         if capture.rates is not None:
             rates = capture.rates.withColumn("capture_id", F.lit(capture.capture_id))
             self._swap(fx.upsert(self.table("fx", FX), rates), "fx", ["capture_id", "currency"])
-        self._swap(grain.coverage(self.captures()), "coverage", ["capture_date"])
+        self._swap(self._covered(capture.day), "coverage", ["capture_date"])
+
+    def _covered(self, day: str) -> DataFrame:
+        """The coverage with one day counted anew; a feed that it hasn't met adds a column."""
+        fresh = grain.coverage(self.captures(F.col("capture_date") == F.lit(day).cast("date")))
+        known = self.versions("coverage")
+        if not known:
+            return fresh
+        old = self.spark.read.parquet(f"{self.root}/coverage/v{known[-1]}").where(F.col("capture_date") != F.lit(day).cast("date"))
+        both = old.unionByName(fresh, allowMissingColumns=True)
+        return both.na.fill(0, [c for c in both.columns if c != "capture_date"]).select("capture_date", *sorted(c for c in both.columns if c != "capture_date"))
 
     # ---- periods ----
 
@@ -213,6 +233,8 @@ class History:
         self._swap(grain.latest_rows(rows), "latest", ["station_key", "grade_raw"])
         self._swap(rebuilt, "stations", ["station_key"])
         self._swap(grain.coverage(rows), "coverage", ["capture_date"])
+        posted = rows.where("currency <> 'USD' AND fx_usd_per_unit > 0").withColumn("units_per_usd", F.lit(1.0) / F.col("fx_usd_per_unit"))
+        self._swap(fx.upsert(self.table("fx", FX), fx.rebuild(posted.select(*FX.names, "captured_at_utc"), "captured_at_utc")), "fx", ["capture_id", "currency"])
 
     def rebuild_from(self, captures: list[Capture]) -> dict[str, dict[str, int]]:
         """Merge re-parsed captures again, oldest first; those already merged with as many rows are skipped."""

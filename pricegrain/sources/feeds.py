@@ -139,8 +139,10 @@ def us_stations(polled: DataFrame, prices: DataFrame, places: DataFrame | None,
     The chain is: locator where it sells gas, described extra, locator without gas in the same country,
     previous station, lookup. ``polled`` has source_station_id, id_origin and ecom_state.
     """
-    fields = ("name", "address", "city", "region", "postcode", "lat", "lon", "timezone")
-    own = lambda df, key: df.select(F.col(key).alias("source_station_id"), *[F.col(c) if c in df.columns else F.lit(None).alias(c) for c in fields], *[c for c in ("country", "has_gas", "opening_date") if c in df.columns])
+    from ..operators.stations import merge_metadata
+
+    fields = ("name", "address", "city", "region", "postcode", "lat", "lon", "timezone", "opening_date")
+    own = lambda df, key: df.select(F.col(key).alias("source_station_id"), *[F.col(c) if c in df.columns else F.lit(None).alias(c) for c in fields], *[c for c in ("country", "has_gas") if c in df.columns])
     chain: list[tuple[DataFrame, Column]] = []
     if places is not None:
         known = own(places, "id")
@@ -151,20 +153,58 @@ def us_stations(polled: DataFrame, prices: DataFrame, places: DataFrame | None,
     chain.append((own(previous, "source_station_id"), F.lit(True)))
     if found is not None:
         chain.append((own(found, "source_station_id"), F.lit(True)))
-    from ..operators.stations import merge_metadata
-
-    out = merge_metadata(polled.select("source_station_id", "id_origin", "ecom_state"), chain, fields)
-    out = out.join(prices, "source_station_id", "left")
-    if places is not None:
-        out = out.join(places.select(F.col("id").alias("source_station_id"), "opening_date"), "source_station_id", "left")
-    else:
-        out = out.withColumn("opening_date", F.lit(None).cast("date"))
+    out = merge_metadata(polled.select("source_station_id", "id_origin", "ecom_state"), chain, fields).join(prices, "source_station_id", "left")
+    out = out.join(extras.select("source_station_id", F.lit(True).alias("_extra")).distinct(), "source_station_id", "left")
+    posted = F.when(F.size("grades") > 0, price_array(F.col("grades")))
     if found is not None:
-        more = found.select("source_station_id", F.col("prices").alias("_prices"), "has_hours")
-        out = out.join(more, "source_station_id", "left").withColumn("prices", F.coalesce(F.when(F.size("grades") > 0, price_array(F.col("grades"))), F.col("_prices"))).drop("_prices")
+        out = out.join(found.select("source_station_id", F.col("prices").alias("_prices"), F.coalesce("has_hours", F.lit(False)).alias("_hours")), "source_station_id", "left")
+        looked_up = posted.isNull() & (F.coalesce(F.size("_prices"), F.lit(0)) > 0)
+        out = out.withColumns({"prices": F.coalesce(posted, "_prices"), "id_origin": F.when(looked_up, "lookup").otherwise(F.col("id_origin")), "has_hours": F.when(looked_up & F.col("_extra").isNull(), F.col("_hours"))})
     else:
-        out = out.withColumn("prices", price_array(F.col("grades"))).withColumn("has_hours", F.lit(None).cast("boolean"))
-    return _raw(out.drop("grades").withColumn("country", F.lit("US")).withColumn("brand", F.lit("COSTCO")))
+        out = out.withColumns({"prices": posted, "has_hours": F.lit(None).cast("boolean")})
+    out = out.withColumns({"opening_date": F.when(F.col("_extra").isNull(), F.col("opening_date")), "name": F.coalesce("name", "source_station_id")})
+    return _raw(out.withColumn("country", F.lit("US")).withColumn("brand", F.lit("COSTCO")))
+
+
+def failed(responses: DataFrame, code: str, usable: Column | None = None) -> DataFrame:
+    """Errors (code, host, http_status, detail) of the responses that aren't usable."""
+    good = answered() if usable is None else usable
+    return responses.where(~F.coalesce(good, F.lit(False))).select(F.lit(code).alias("code"), F.parse_url("url", F.lit("HOST")).alias("host"), F.col("status").alias("http_status"), F.coalesce("error", "key").alias("detail"))
+
+
+def us_feed(responses: DataFrame, polled: DataFrame, places: DataFrame | None, extras: DataFrame, previous: DataFrame) -> Parsed:
+    """The whole US feed from its stored responses: batches, the lookup behind them, and what to warn of.
+
+    Without a locator and without previous stations, the lookup's own stations are taken as well.
+    """
+    said = lambda df, code, detail="source_station_id": df.select(F.lit(code).alias("code"), F.col(detail).alias("detail"))
+    late = F.coalesce(F.col("error") == "deadline_exceeded", F.lit(False))
+    asked = responses.where(~late)
+    batches, looked = asked.where(F.col("key").contains("gasprices")), asked.where(F.col("key").contains("lookup"))
+    prices, bad = price_batches(batches)
+    found = lookup(looked).dropDuplicates(["source_station_id"])
+    errors = failed(batches.join(bad, "key", "left_semi"), "price_batch_failed", F.lit(False)).union(failed(looked, "lookup_failed"))
+    cached = previous.limit(1)
+    if places is None and not cached.count():
+        more = found.join(polled, "source_station_id", "left_anti").where(F.size("prices") > 0)
+        polled = polled.select("source_station_id", "id_origin", "ecom_state").union(more.select("source_station_id", F.lit("lookup"), F.lit("unavailable")))
+    out = us_stations(polled, prices, places, extras, previous, found)
+    warnings = said(responses.where(late), "deadline_exceeded", "key")
+    if places is None:
+        warnings = warnings.union(cached.select(F.lit("metadata_from_cache"), F.lit("US")))
+    warnings = warnings.union(said(out.where("ecom_state = 'absent' AND size(prices) > 0"), "not_in_ecom_api"))
+    return Parsed(out, warnings, errors)
+
+
+def ca_feed(responses: DataFrame, places: DataFrame | None, cached: DataFrame) -> Parsed:
+    """The whole Canadian feed: the lookup's stations or, where batches were asked for instead, cached ones."""
+    batches, looked = responses.where(F.col("key").contains("gasprices")), responses.where(F.col("key").contains("lookup"))
+    errors = lambda df: failed(df, "").withColumn("code", F.when(F.col("http_status").isNull(), "request_failed").otherwise("http_error"))
+    if batches.limit(1).count():
+        out = ca_fallback(price_batches(batches)[0], cached)
+        return Parsed(out.stations, out.warnings, errors(batches))
+    none = responses.sparkSession.createDataFrame([], "code string, detail string")
+    return Parsed(ca_stations(lookup(looked), places, cached), none, errors(looked))
 
 
 def ca_stations(found: DataFrame, places: DataFrame | None, cached: DataFrame) -> DataFrame:
@@ -307,7 +347,7 @@ def _raw(df: DataFrame) -> DataFrame:
     return df.select([(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in StructType.fromDDL(RAW_STATION)])
 
 
-#: Parsers by feed; a new feed is a new entry.
+#: Parsers of the feeds that need nothing but their responses (and their roster); ``us_feed`` and ``ca_feed`` need more.
 PARSERS = {f"{c}-COSTCO": (lambda responses, c=c: occ_stations(responses, c)) for c in ("AU", "GB", "JP", "MX", "TW")} | {"US-SAMS": sams_stations}
 
 

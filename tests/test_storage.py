@@ -2,6 +2,7 @@
 
 import gzip
 import json
+import os
 import sys
 from datetime import date, datetime
 
@@ -145,6 +146,40 @@ def test_history_merges_idempotently_and_closes(spark, tmp_path):
         h.merge(capture(spark, 21))
 
 
+def test_a_crash_between_any_two_steps_is_mended_by_merging_again(spark, tmp_path, monkeypatch):
+    """Current tables are versions: what isn't written as a whole doesn't count, and a retry converges."""
+    whole, h = History(spark, str(tmp_path / "whole")), History(spark, str(tmp_path / "h"))
+    for x in (whole, h):
+        x.merge(capture(spark, 6))
+    whole.merge(capture(spark, 12, ids=(1, 3), price=4.0))
+    tables = (("latest", ROW), ("stations", STATION))
+    shown = lambda x: [sorted(map(repr, x.table(n, schema).collect())) for n, schema in tables] + [x.merged()]
+    swap = History._swap
+
+    class Crash(Exception):
+        pass
+
+    for step in ("latest", "stations", "coverage", "commit"):
+        def stop(self, df, name, order, step=step):
+            if name == step:
+                df.write.mode("overwrite").parquet(f"{self.root}/{name}/v99")  # cut short: the folder isn't marked
+                os.remove(f"{self.root}/{name}/v99/_SUCCESS")
+                raise Crash
+            swap(self, df, name, order)
+
+        def no_commit(self, *a):
+            raise Crash
+
+        with monkeypatch.context() as m:
+            m.setattr(History, *(("_commit", no_commit) if step == "commit" else ("_swap", stop)))
+            with pytest.raises(Crash):
+                h.merge(capture(spark, 12, ids=(1, 3), price=4.0))
+        assert h.merged() == {"2026-09-15T0600Z"} and h.table("stations", STATION).count() >= 2
+    h.merge(capture(spark, 12, ids=(1, 3), price=4.0))
+    assert shown(h) == shown(whole)
+    assert len(h.versions("stations")) <= 2
+
+
 def test_site_outputs(spark, tmp_path):
     rows = rows_of(spark, [{"lat": 1.0, "lon": 2.0, "price_local_per_litre": 0.8}])
     grades = spark.createDataFrame([], GRADES)
