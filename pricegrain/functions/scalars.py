@@ -167,9 +167,13 @@ def iso_time(c) -> Column:
 _MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
 
 
+#: Fixed format: month name, optional dot, day, optional comma, year; casing aside.
+OPEN_DATE = r"^([a-z]{3,})\.?\s+(\d{1,2})\s*,?\s*(\d{4})$"
+
+
 def open_date(c) -> Column:
     """Date such as ``Aug 23, 1995``: any casing, months by their first three letters, dot and comma optional."""
-    c, pattern = F.lower(clean(c)), r"^([a-z]{3,})\.?\s+(\d{1,2})\s*,?\s*(\d{4})$"
+    c, pattern = F.lower(clean(c)), OPEN_DATE
     months = F.create_map(*[F.lit(x) for i, m in enumerate(_MONTHS, 1) for x in (m, f"{i:02d}")])
     month = months[F.substring(F.regexp_extract(c, pattern, 1), 1, 3)]
     text = F.concat_ws("-", F.regexp_extract(c, pattern, 3), month, F.lpad(F.regexp_extract(c, pattern, 2), 2, "0"))

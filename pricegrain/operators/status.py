@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import capture_time, feed_country, feed_id, older_than
 from .constants import FLOORS, OUT_OF_BOUNDS_SHARE, RECENT_ERRORS, STALE_AFTER_DAYS, STALE_AFTER_DEFAULT, STATUS_RANK
 
+#: Sources of fallback prices, and the warnings that degrade a feed.
 FALLBACK_SOURCES = ("costco-ca-lookup-us", "costco-ca-gasprices")
 DEGRADING = ("metadata_from_cache", "previous_state_unavailable", "fallback_used", "unknown_grade", "budget_exhausted", "sweep_abandoned")
 

@@ -15,7 +15,8 @@ from pyspark.sql.types import StructType
 from ..functions import scalars as S
 from ..operators import fx, grain, normalize, sets, stations, status, summary, validate
 from ..operators.constants import LITRES_PER_US_GALLON
-from ..schemas import STATION, WATCH, empty
+from ..schemas import STATION, empty
+from ..sources import feeds
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {}
 
@@ -261,7 +262,8 @@ def partition_replace(spark, sf_dir):
 
 @query("SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'P' AND o_orderpriority = '1-URGENT')")
 def fresh_anti(spark, sf_dir):
-    return read(spark, sf_dir, "customer").join(read(spark, sf_dir, "orders").where("o_orderstatus = 'P' AND o_orderpriority = '1-URGENT'"), F.col("o_custkey") == F.col("c_custkey"), "left_anti").select("c_custkey", "c_name")
+    urgent = read(spark, sf_dir, "orders").where("o_orderstatus = 'P' AND o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("c_custkey"))
+    return sets.minus(read(spark, sf_dir, "customer").select("c_custkey", "c_name"), urgent, key="c_custkey")
 
 
 @query("SELECT c_custkey, c_name FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'O')")
@@ -411,7 +413,7 @@ def id_batches(spark, sf_dir):
 
 @query("""SELECT event_id, json_extract_string(props, '$.k')::int AS k, event_type || '=' || json_extract_string(props, '$.k') AS entry FROM events""")
 def json_props(spark, sf_dir):
-    e = read(spark, sf_dir, "events").withColumn("g", F.from_json("props", "map<string,string>"))
+    e = read(spark, sf_dir, "events").withColumn("g", feeds.grade_map(F.col("props")))
     return e.select("event_id", F.col("g")["k"].cast("int").alias("k"), F.concat("event_type", F.lit("="), F.col("g")["k"]).alias("entry"))
 
 
