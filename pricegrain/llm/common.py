@@ -46,15 +46,23 @@ def tidy(run):
     return whole
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` computed once and kept as a reliable checkpoint, so that a lost executor costs a read.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share: the session's ``spark.checkpoint.dir``.
 
-    The folder is the session's ``spark.checkpoint.dir``; only where that is unset (tests) a
-    folder of this machine stands in.
+    Only in local mode (tests) a folder of this machine stands in where that is unset.
     """
-    sc = df.sparkSession.sparkContext
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoints-"))
+        folder = sc.getConf().get("spark.checkpoint.dir")
+        if not folder and not sc.master.split("[")[0] == "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints-"))
+    return sc.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` computed once and kept as a reliable checkpoint, so that a lost executor costs a read."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
