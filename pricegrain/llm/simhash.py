@@ -319,7 +319,8 @@ def _handed_pairs(found):
 def _first_pairs(filed: DataFrame, percent: int, radius: int) -> DataFrame:
     """Pairs (a < b) of a text and one of ``FIRST`` texts of the same shingle.
 
-    Within a shingle these lie at even ranks. A shingle in several pieces has ``FIRST`` more that are drawn by hash
+    Half of these have the fingerprints nearest to the majority of the shingle's, as the text that others were made from
+    has; the rest lie at even ranks of the distance to it. A shingle in several pieces has ``FIRST`` more that are drawn by hash
     and meet the texts of all its pieces in a join.
     """
 
@@ -330,9 +331,14 @@ def _first_pairs(filed: DataFrame, percent: int, radius: int) -> DataFrame:
             fp = fp.view(np.uint64)
             start = np.concatenate(([0], np.flatnonzero((item[1:] != item[:-1]) | (piece[1:] != piece[:-1])) + 1))
             size = np.diff(np.append(start, len(item)))
+            bits = np.unpackbits(fp.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").astype(np.int32)
+            middle = np.packbits(2 * np.add.reduceat(bits, start) > size[:, None], axis=1, bitorder="little").view("<u8")[:, 0]
+            run_of = np.repeat(np.arange(len(start)), size)
+            by = np.lexsort((key, np.bitwise_count(fp ^ middle[run_of]), run_of))
+            key, n, fp, place = key[by], n[by], fp[by], place[by]
             out = []
             for i in range(FIRST):
-                own = np.repeat(start + i * size // FIRST, size)
+                own = np.repeat(start + (np.minimum(i, size - 1) if 2 * i < FIRST else i * size // FIRST), size)
                 ok = (key != key[own]) & (np.bitwise_count(fp ^ fp[own]) <= radius) & _may_link(n, place, n[own], place[own], percent)
                 out.append((np.minimum(key, key[own])[ok], np.maximum(key, key[own])[ok]))
             yield _handed_pairs(out)
