@@ -22,6 +22,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,9 +35,9 @@ SHARD, SHARD_CAP = 512, 1024
 STEP = 1 << 15
 #: Most fingerprints in a leaf, which are compared directly.
 LEAF = 8
-#: Near copies: texts that are all counted for the order of shingles; of more, one in ``PART`` is. A shingle is
-#: frequent from ``OFTEN`` of them on, and at most ``MOST`` frequent ones are sent to the tasks.
-WHOLE, PART, OFTEN, MOST = 20_000, 16, 2, 200_000
+#: Near copies: counters that the shingles of all texts share by hash (a power of 2), stretches in which tasks send
+#: them, and the count from which a shingle comes after others in the order of shingles.
+SLOTS, STRETCHES, OFTEN = 1 << 21, 64, 2
 #: Postings that a task hands over at once, texts of a shard that all others meet first, keys that are broadcast at
 #: most, texts of a block whose sets are held at once, texts that come to a block in one task.
 FILED, FIRST, SENT, BLOCK, COME = 1 << 18, 4, 1 << 20, 256, 4096
@@ -188,27 +189,41 @@ def need(n, percent: int):
     return -(-n * percent // 100)
 
 
-def _frequent(texts: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ascending frequent shingles of the counted texts and how many of them hold each."""
-    if texts.count() > WHOLE:
-        texts = texts.where(F.pmod("key", F.lit(PART)) == 0)
+def _slot(items: np.ndarray) -> np.ndarray:
+    return (items & np.uint64(SLOTS - 1)).astype(np.int64)
+
+
+def _counts(texts: DataFrame, words: int) -> np.ndarray:
+    """For each counter how many of all texts hold its shingles, each shingle by itself; a map task counts equal texts once.
+
+    These give the order of shingles alone: every total order finds the same pairs, the rarest first with the least work.
+    What tasks send grows neither with the shingles nor with the texts of a task.
+    """
 
     @tidy
     def run(batches):
+        total, met = np.zeros(SLOTS, np.uint32), set()
+        for batch in batches:
+            for t, key in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if key not in met:
+                    met.add(key)
+                    np.add.at(total, _slot(np.unique(hashes(t, words))), 1)
+        parts = [zstandard.compress(x.tobytes(), 3) for x in np.split(total, STRETCHES)] if met else []
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.binary())], names=["stretch", "counts"])
+
+    @tidy
+    def add(batches):
+        total = {}
         for batch in batches:
-            for t in batch.column(0).to_pylist():
-                yield pa.RecordBatch.from_arrays([pa.array(np.unique(hashes(t, words)).view(np.int64))], names=["item"])
+            for k, z in zip(*[c.to_pylist() for c in batch.columns]):
+                total[k] = total.get(k, 0) + np.frombuffer(zstandard.decompress(z), np.uint32).astype(np.int64)
+        parts = [zstandard.compress(x.tobytes(), 3) for x in total.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array(parts, pa.binary())], names=["stretch", "counts"])
 
-    counted = cut(texts.select("text").mapInArrow(run, "item long").groupBy("item").count().where(F.col("count") >= OFTEN))
-    least, total = 1, 0
-    for count, many in sorted(counted.groupBy(F.least("count", F.lit(1 << 16))).count().toPandas().itertuples(index=False), reverse=True):
-        total += many
-        if total > MOST:
-            least = count + 1
-            break
-    top = counted.where(F.col("count") >= least).limit(MOST).toPandas()
-    item, order = (x := top["item"].to_numpy(np.int64).view(np.uint64)), np.argsort(x)
-    return item[order], top["count"].to_numpy(np.int64)[order]
+    kinds, counts = "stretch int, counts binary", np.zeros((STRETCHES, SLOTS // STRETCHES), np.uint32)
+    for k, z in texts.select("text", "key").mapInArrow(run, kinds).repartition("stretch").mapInArrow(add, kinds).collect():
+        counts[k] = np.minimum(np.frombuffer(zstandard.decompress(z), np.int64), (1 << 32) - 1)
+    return np.where(counts < OFTEN, 0, counts).astype(np.uint32).ravel()
 
 
 #: A text in the listing of a map task: its number there, key, size of its set, fingerprint, least shingle.
@@ -224,7 +239,7 @@ def _filed(texts: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataF
     bytes, in arrays by shard of the shingles; sizes and fingerprints are sent once for each text and joined to the shared shingles alone.
     """
     spark = texts.sparkSession
-    sent, shards = spark.sparkContext.broadcast(_frequent(texts, words)), 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sent, shards = spark.sparkContext.broadcast(_counts(texts, words)), 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def handed(part, items, refs, places, listed):
         item, own, place = np.concatenate(items), np.concatenate(refs), np.concatenate(places)
@@ -238,7 +253,7 @@ def _filed(texts: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataF
 
     @tidy
     def file(batches):
-        often, counts = sent.value
+        counts = sent.value
         part, ref, items, refs, places, listed, waiting, met = TaskContext.get().partitionId(), 0, [], [], [], [], 0, set()
         for batch in batches:
             for t, key in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -249,9 +264,7 @@ def _filed(texts: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataF
                 if not len(s):
                     continue
                 listed.append((ref, key, len(s), majority(s), s[0]))
-                if len(often):
-                    at = np.minimum(np.searchsorted(often, s), len(often) - 1)
-                    s = s[np.argsort(np.where(often[at] == s, counts[at], 0), kind="stable")]
+                s = s[np.argsort(counts[_slot(s)], kind="stable")]
                 some = s[: len(s) - need(len(s), percent) + 1]
                 items.append(some)
                 refs.append(np.full(len(some), ref, "<u4"))

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from test_text_operators import KINDS, corpus
 
 import corpus_pipeline
@@ -107,6 +108,20 @@ def test_near_duplicates_are_all_pairs_of_similar_shingles(spark, monkeypatch, o
     assert sorted((last(x["doc_id"]) for x in found)) == sorted(map(last, want)) and len(found) < len(rows)
 
 
+def test_order_of_shingles_counts_every_text(spark):
+    """A line is frequent though only texts hold it whose keys a sample of one in 16 leaves out: none is listed under it."""
+    line = "one line that stands in very many texts of all these"
+    texts = spark.range(22_000).select(F.concat_ws(" ", *[F.concat(F.lit(f"a{k}x"), "id") for k in range(20)], F.lit(line)).alias("text"))
+    texts = texts.withColumn("key", F.xxhash64("text")).where("pmod(key, 16) <> 0").cache()
+    assert texts.count() > 20_000
+    own = simhash.hashes(line, 5).view(np.int64).tolist()
+    assert simhash._filed(texts, 5, 80)[0].where(F.col("item").isin(own)).count() == 0
+    want = np.zeros(simhash.SLOTS, np.int64)
+    for r in texts.select("text").collect():
+        np.add.at(want, simhash._slot(np.unique(simhash.hashes(r["text"], 5))), 1)
+    assert np.array_equal(simhash._counts(texts, 5), np.where(want < simhash.OFTEN, 0, want))
+
+
 def test_clashing_columns_and_repeats_pass_the_stages(spark):
     """Extra columns of any name come through unchanged; every row keeps its own."""
     kinds = "doc_id long, text string, lang string, source string, n_chars long, key string, mark string, id string, copies string, _text string, _clean string, _copies string, c0 string, label string, lang_pred string"
