@@ -10,8 +10,9 @@ a spanning forest of the links they find, never the pairs of a group.
 
 ``near_copies`` links texts by the similarity of their whole shingle sets. Sets of a similarity of 0.8 differ
 in about 10 of 64 bits and at times in over 20, too many for bit blocks, so its shards hold the texts that share a
-rare shingle (a prefix filter, which loses no pair); within a shard BK-trees find the fingerprints within a
-wide radius, and whole sets decide.
+rare shingle (a prefix filter, which loses no pair); within a shard fingerprints choose the texts that all others
+meet first, every pair that can be similar by sizes and places is considered, and whole sets decide. BK-trees serve a
+narrower radius, if one is asked for.
 """
 
 from __future__ import annotations
@@ -41,8 +42,8 @@ SLOTS, STRETCHES, OFTEN = 1 << 21, 64, 2
 #: Postings that a task hands over at once, texts of a shard that all others meet first, keys that are broadcast at
 #: most, texts of a block whose sets are held at once, texts that come to a block in one task.
 FILED, FIRST, SENT, BLOCK, COME = 1 << 18, 4, 1 << 20, 256, 4096
-#: Bits in which fingerprints of sets of a similarity of 0.8 may differ: mean 10, standard deviation 3.
-WIDE = 28
+#: Bits in which fingerprints of near copies may differ: all of them, as any fewer could lose a pair.
+WIDE = 64
 
 
 def hashes(text: str | None, words: int = 3) -> np.ndarray:
@@ -387,7 +388,7 @@ def _rest(filed: DataFrame, percent: int, radius: int) -> DataFrame:
             for a, b in zip(start[open_].tolist(), end[open_].tolist()):
                 alone = tree[a] == members[a]
                 trees, queries = (np.arange(a, b),) * 2 if alone else (np.flatnonzero(in_tree[a:b]) + a, np.flatnonzero(~in_tree[a:b]) + a)
-                if len(trees) <= LEAF:
+                if len(trees) <= LEAF or radius >= 64:
                     q, v = np.nonzero(np.bitwise_count(fp[queries][:, None] ^ fp[trees][None, :]) <= radius)
                 else:
                     q, v = BKTree(fp[trees]).search(fp[queries], radius)
@@ -476,8 +477,8 @@ def near_copies(docs: DataFrame, text_col: str = "text", words: int = 5, percent
     """(key, label) of the texts that have a near copy; ``key`` is XXH64 of the text, ``label`` that of its group.
 
     Texts whose sets of ``words``-word shingles have a Jaccard similarity of ``percent`` or more are linked, and
-    groups are what links join. Every pair is considered whose fingerprints (of the distinct shingles) differ in at
-    most ``radius`` bits; of pairs at exactly 0.8 fewer than one in a million lies beyond 28. Null and wordless
+    groups are what links join. Every pair is considered, unless a ``radius`` below 64 leaves out those whose
+    fingerprints (of the distinct shingles) differ in more bits. Null and wordless
     texts have no near copy; a text shorter than ``words`` is one shingle; repeated texts are one; an empty
     table gives an empty one; long texts are compared as a whole. Other columns are not read.
     """

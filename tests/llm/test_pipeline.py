@@ -122,6 +122,16 @@ def test_order_of_shingles_counts_every_text(spark):
     assert np.array_equal(simhash._counts(texts, 5), np.where(want < simhash.OFTEN, 0, want))
 
 
+def test_similar_texts_with_distant_fingerprints_are_near_copies(spark):
+    near = "w7624 w9712 w885 w2478 w3658 w1398 w8477 w5939"
+    far = f"{near} x74644"
+    assert len(plain_shingles(near) & plain_shingles(far)) / len(plain_shingles(far)) == 0.8
+    assert (simhash.fingerprint(near, 5) ^ simhash.fingerprint(far, 5)).bit_count() == 33
+    rows = [(i, t, "en", "s", 1, "", "") for i, t in enumerate([near, far, "some other text"])]
+    found = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, KINDS), "").collect()
+    assert sorted(r["doc_id"] for r in found) == [0, 2]
+
+
 def test_clashing_columns_and_repeats_pass_the_stages(spark):
     """Extra columns of any name come through unchanged; every row keeps its own."""
     kinds = "doc_id long, text string, lang string, source string, n_chars long, key string, mark string, id string, copies string, _text string, _clean string, _copies string, c0 string, label string, lang_pred string"
